@@ -38,10 +38,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _tables.append((weakref.ref(spark), path))
+    keep_until_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep_until_exit(spark: SparkSession, path: str) -> None:
+    _tables.append((weakref.ref(spark), path))
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)

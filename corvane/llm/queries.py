@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, line_dedup, quality_rules, token_counts
+from . import license_scan, line_dedup, mixing, near_dedup, packing, quality_rules, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,11 +24,34 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(documents(spark, sf_dir))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(documents(spark, sf_dir))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_token_counts, op3_line_dedup, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_license_scan,
+        op2_token_counts,
+        op3_line_dedup,
+        op6_best_fit_packing,
+        op7_near_dedup,
+        op8_mixing,
+        op10_quality_rules,
+    )
+}
 
 ORACLES = {
     "op3_line_dedup": r"""
