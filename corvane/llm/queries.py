@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, line_dedup, mixing, near_dedup, packing, quality_rules, token_counts
+from . import language_id, license_scan, line_dedup, mixing, near_dedup, nearest, packing, quality_model, quality_rules, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,14 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(documents(spark, sf_dir))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), lambda vec_id: vec_id % 20 == 0)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(documents(spark, sf_dir))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -36,6 +44,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
@@ -46,9 +58,12 @@ QUERIES = {
         op1_license_scan,
         op2_token_counts,
         op3_line_dedup,
+        op4_nearest,
+        op5_language_id,
         op6_best_fit_packing,
         op7_near_dedup,
         op8_mixing,
+        op9_quality_model,
         op10_quality_rules,
     )
 }
