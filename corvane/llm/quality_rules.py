@@ -3,8 +3,8 @@
 Fixed rules reject very short texts and texts full of repeated 8-word windows. Every other rule gets its cutoff
 from a mergeable KLL quantile sketch of each measure per language and source: one sketch per (lang, source),
 merged to one per language and one overall for groups with too few rows. A row fails where a measure lies
-beyond ``q75 + spread * (q75 - q25)`` of its group (and beyond a floor, so that a group in which a measure
-hardly varies doesn't reject its own tail).
+beyond its group's upper quartile plus ``spread`` times the quartiles' distance (at least a margin), or as far
+below the lower quartile.
 
 Defined results: null or empty text has no words and fails the base rules; null lang or source form groups of
 their own; an empty table gives an empty table; ties don't matter (a row is judged by values alone).
@@ -26,14 +26,16 @@ SPACE_CHARS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: measure -> (least cutoff above, greatest cutoff below or None). A cutoff is never stricter than these.
-FLOORS: dict[str, tuple[float, float | None]] = {
+#: measure -> (least distance of the upper cutoff from the upper quartile, and of the lower one from the lower, if any).
+#: They keep a group in which a measure hardly varies from rejecting its own tail; the cutoff moves with the group.
+MARGINS: dict[str, tuple[float, float | None]] = {
     "symbol_share": (0.02, None),
     "dup_line_share": (0.30, None),
-    "repeat_share": (0.20, None),
+    "repeat_share": (0.30, None),
+    "echo_share": (0.10, None),
     "upper_share": (0.30, None),
     "mark_share": (0.15, None),
-    "word_length": (9.0, 2.5),
+    "word_length": (3.0, 2.0),
 }
 SPREAD = 6.0
 #: Rows a (lang, source) or lang group needs for thresholds of its own.
@@ -63,6 +65,7 @@ def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
     d = d.withColumns({
         "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
         "_win": F.when(F.col("n_words") > 8, windows),
+        "_echo": F.size(F.filter("_h", lambda x, i: x == F.get("_h", i - 1))),
     }).drop("_l", "_h")
     # only rows with an equal pair of windows pay for sorting them
     d = d.withColumn("_s", F.when(F.size(F.array_distinct("_win")) < F.size("_win"), F.array_sort(F.transform("_win", lambda x, i: F.struct(x.alias("x"), i.alias("i")))))).drop("_win")
@@ -83,6 +86,7 @@ def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
         share("n_symbols", "word_chars").alias("m_symbol_share"),
         share("n_dup_lines", "n_words").alias("m_dup_line_share"),
         share("n_repeat_words", "n_words").alias("m_repeat_share"),
+        share("_echo", "n_words").alias("m_echo_share"),
         share("_upper", "word_chars").alias("m_upper_share"),
         share("_marks", "n_words").alias("m_mark_share"),
         share("word_chars", "n_words").alias("m_word_length"),
@@ -95,15 +99,15 @@ def thresholds(rows: DataFrame, lang: str = "lang", source: str = "source", leas
     Partial sketches are built on the map side, so a hot group moves one sketch per task.
     """
     sketches = rows.groupBy(F.col(lang).alias("t_lang"), F.col(source).alias("t_source")).agg(
-        F.count("*").alias("n"), *[F.kll_sketch_agg_double(f"m_{m}", SKETCH_K).alias(m) for m in FLOORS]
+        F.count("*").alias("n"), *[F.kll_sketch_agg_double(f"m_{m}", SKETCH_K).alias(m) for m in MARGINS]
     )
     sketches = materialize(sketches, "quality-sketches")
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, SKETCH_K).alias(m) for m in FLOORS]]
+    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, SKETCH_K).alias(m) for m in MARGINS]]
     at = lambda m, q: F.kll_sketch_get_quantile_double(m, F.lit(q))
 
     def cutoffs(x: DataFrame, prefix: str, *keys: str) -> DataFrame:
         out = []
-        for m in FLOORS:
+        for m in MARGINS:
             enough = F.col("n") >= least_rows
             out += [F.when(enough, at(m, 0.25)).alias(f"{prefix}25_{m}"), F.when(enough, at(m, 0.75)).alias(f"{prefix}75_{m}")]
         return x.select(*keys, *out)
@@ -111,15 +115,15 @@ def thresholds(rows: DataFrame, lang: str = "lang", source: str = "source", leas
     own = cutoffs(sketches, "s", "t_lang", "t_source")
     by_lang = cutoffs(sketches.groupBy("t_lang").agg(*merged), "l", "t_lang").withColumnRenamed("t_lang", "_lang")
     over = sketches.agg(*merged).filter("n > 0")
-    over = over.select(*[at(m, q).alias(f"a{n}_{m}") for m in FLOORS for n, q in ((25, 0.25), (75, 0.75))], F.lit(1).alias("_one"))
+    over = over.select(*[at(m, q).alias(f"a{n}_{m}") for m in MARGINS for n, q in ((25, 0.25), (75, 0.75))], F.lit(1).alias("_one"))
     joined = own.join(by_lang, own["t_lang"].eqNullSafe(by_lang["_lang"]), "left").withColumn("_one", F.lit(1)).join(over, "_one", "left")
     pick = lambda q, m: F.coalesce(f"s{q}_{m}", f"l{q}_{m}", f"a{q}_{m}")
     out = []
-    for m, (high, low) in FLOORS.items():
+    for m, (high, low) in MARGINS.items():
         width = spread * (pick(75, m) - pick(25, m))
-        out.append(F.greatest(pick(75, m) + width, F.lit(high)).alias(f"hi_{m}"))
+        out.append((pick(75, m) + F.greatest(width, F.lit(high))).alias(f"hi_{m}"))
         if low is not None:
-            out.append(F.least(pick(25, m) - width, F.lit(low)).alias(f"lo_{m}"))
+            out.append((pick(25, m) - F.greatest(width, F.lit(low))).alias(f"lo_{m}"))
     return joined.select("t_lang", "t_source", *out)
 
 
@@ -127,7 +131,7 @@ def judged(rows: DataFrame, cutoffs: DataFrame, lang: str = "lang", source: str
     """``rows`` with ``kept``: false if the base rules fail or a measure lies beyond its group's cutoff."""
     small = cutoffs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     cutoffs = F.broadcast(cutoffs) if small else cutoffs
-    odd = reduce(Column.__or__, [(F.col(f"m_{m}") > F.col(f"hi_{m}")) for m in FLOORS] + [(F.col(f"m_{m}") < F.col(f"lo_{m}")) for m, (_, low) in FLOORS.items() if low is not None])
+    odd = reduce(Column.__or__, [(F.col(f"m_{m}") > F.col(f"hi_{m}")) for m in MARGINS] + [(F.col(f"m_{m}") < F.col(f"lo_{m}")) for m, (_, low) in MARGINS.items() if low is not None])
     joined = rows.join(cutoffs, rows[lang].eqNullSafe(cutoffs["t_lang"]) & rows[source].eqNullSafe(cutoffs["t_source"]), "left")
     return joined.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False)))
 
