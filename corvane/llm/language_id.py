@@ -48,16 +48,16 @@ def _is_letter(points: np.ndarray) -> np.ndarray:
 
 def grams(texts: list[str], bits: int = BITS) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
     """For each order, bucket and row of every n-gram in row order; and for each row whether it has a letter."""
-    # a space before and after each text; an n-gram may hold one end's space, but not reach into the next text
-    raw = "".join(f" {t.lower()}\x00 " for t in texts)
-    points = np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), np.uint32)
+    low = [t.lower() for t in texts]
+    # a space before and after each text; an n-gram may hold it, but not reach into another text
+    points = np.frombuffer("".join(f" {t} " for t in low).encode("utf-32-le", "surrogatepass"), np.uint32)
+    size = np.array([len(t) + 2 for t in low])
+    starts = np.cumsum(size) - size
     letter = _is_letter(points)
     keep = letter.copy()
-    keep[0] |= len(keep) > 0
     keep[1:] |= letter[:-1]  # of a run of others the first stays
-    ends = np.cumsum([len(t.lower()) + 3 for t in texts])
-    starts = ends - np.array([len(t.lower()) + 3 for t in texts])
-    row = np.repeat(np.arange(len(texts)), ends - starts)
+    keep[starts] = True
+    row = np.repeat(np.arange(len(texts)), size)
     has = np.bincount(row[letter], minlength=len(texts)) > 0
     x = np.where(letter, points, np.uint32(32))[keep].astype(np.uint64)
     row = row[keep]
