@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sizes import if_small
 from .sparse import top_k
 
 
@@ -21,11 +22,14 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def distances(queries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(query_id, doc_id, distance) of every pair: the exact scan. Queries are few and broadcast; norms are worked out once a vector."""
+    """(query_id, doc_id, distance) of every pair: the exact scan. Few queries are broadcast; norms are worked out once a vector.
+
+    For many queries over many vectors use an index instead of the exact scan.
+    """
     q = queries.select("query_id", F.col("vector").alias("qv"), F.sqrt(dot(F.col("vector"), F.col("vector"))).alias("qn"))
     d = vectors.select("doc_id", F.col("vector").alias("dv"), F.sqrt(dot(F.col("vector"), F.col("vector"))).alias("dn"))
     similar = F.coalesce(F.try_divide(dot(F.col("qv"), F.col("dv")), F.col("qn") * F.col("dn")), F.lit(0.0))
-    return d.crossJoin(F.broadcast(q)).select("query_id", "doc_id", (F.round(1 - similar, 6) + 0.0).alias("distance"))
+    return d.crossJoin(if_small(q)).select("query_id", "doc_id", (F.round(1 - similar, 6) + 0.0).alias("distance"))
 
 
 def vector_search(queries: DataFrame, vectors: DataFrame, k: int = 12, excluded: DataFrame | None = None) -> DataFrame:
@@ -47,7 +51,7 @@ def mmr(queries: DataFrame, vectors: DataFrame, k: int = 8, fetch: int = 12, wei
     Each query's candidates are at most ``fetch`` rows, so one group is small whatever the corpus.
     """
     near = vector_search(queries, vectors, fetch).join(vectors.select("doc_id", "vector"), "doc_id")
-    near = near.join(F.broadcast(queries.select("query_id", F.col("vector").alias("qv"))), "query_id")
+    near = near.join(queries.select("query_id", F.col("vector").alias("qv")), "query_id")
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rank", kind="stable").reset_index(drop=True)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from .sizes import numbered
 
 
 def row_documents(df: DataFrame, columns: list[str], order: list[str], keep: list[str] | None = None) -> DataFrame:
@@ -20,8 +21,7 @@ def row_documents(df: DataFrame, columns: list[str], order: list[str], keep: lis
     lines = [F.when(T.null_token(F.col(c)) != "", F.concat(F.lit(f"{c}: "), T.null_token(F.col(c)))) for c in columns]
     others = [c for c in df.columns if c not in columns] if keep is None else keep
     meta = F.create_map(*[x for c in others for x in (F.lit(c), F.col(c).cast("string"))]) if others else F.create_map().cast("map<string,string>")
-    numbered = df.withColumn("row", F.row_number().over(Window.orderBy(*order)).cast("long"))
-    return numbered.select("row", F.concat_ws("\n", *lines).alias("content"), F.map_filter(meta, lambda k, v: v.isNotNull()).alias("metadata")).filter(F.trim("content") != "")
+    return numbered(df, order).select("row", F.concat_ws("\n", *lines).alias("content"), F.map_filter(meta, lambda k, v: v.isNotNull()).alias("metadata")).filter(F.trim("content") != "")
 
 
 def render_template(template: str, columns: list[str]) -> Column:
@@ -42,11 +42,11 @@ def reservoir_rows(n: int, count: int = 50, seed: int = 42) -> list[int]:
     return sorted(kept)
 
 
-def reservoir_sample(numbered: DataFrame, count: int = 50, seed: int = 42) -> DataFrame:
-    """The rows of ``numbered`` (row from 1) that the reservoir keeps: a join with at most ``count`` numbers."""
-    rows = reservoir_rows(numbered.count(), count, seed)
-    kept = numbered.sparkSession.createDataFrame([(r,) for r in rows], "row long")
-    return numbered.join(F.broadcast(kept), "row", "left_semi")
+def reservoir_sample(rows: DataFrame, count: int = 50, seed: int = 42) -> DataFrame:
+    """The ``rows`` (row from 1) that the reservoir keeps: a join with at most ``count`` numbers."""
+    chosen = reservoir_rows(rows.count(), count, seed)
+    kept = rows.sparkSession.createDataFrame([(r,) for r in chosen], "row long")
+    return rows.join(F.broadcast(kept), "row", "left_semi")
 
 
 def hash_sample(df: DataFrame, key: str, count: int, seed: int = 42) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from .sizes import if_small
 
 try:
     import ahocorasick
@@ -22,6 +23,8 @@ except ImportError:  # plain substring search finds the same
     ahocorasick = None
 
 DIGITS = 6
+#: Distinct terms and phrases up to which queries become one automaton.
+MOST_PATTERNS = 200_000
 
 
 def top_k(scored: DataFrame, k: int, by: str = "query_id", score: str = "score", doc: str = "doc_id", descending: bool = True) -> DataFrame:
@@ -124,7 +127,10 @@ def keyword(queries: DataFrame, docs: DataFrame, k: int = 12) -> DataFrame:
     """
     asked = queries.select("query_id", T.terms(F.col("query")).alias("ts")).withColumn("ps", T.phrases(F.col("ts")))
     kinds = asked.select("query_id", F.explode("ts").alias("pattern"), F.lit(False).alias("phrase")).union(asked.select("query_id", F.explode("ps"), F.lit(True)))
-    patterns = [r.pattern for r in kinds.select("pattern").distinct().collect()]
+    patterns = [r.pattern for r in kinds.select("pattern").distinct().limit(MOST_PATTERNS + 1).collect()]
+    if len(patterns) > MOST_PATTERNS:  # too many for one automaton: score pairs in a nested loop, without Python
+        scored = docs.crossJoin(asked).select("query_id", "doc_id", T.keyword_score(F.col("content"), F.coalesce(F.col("heading"), F.lit("")), F.col("ts"), F.col("ps")).cast("double").alias("score"))
+        return top_k(scored.filter("score > 0"), k)
     found = pattern_counts(docs, sorted(patterns)).join(kinds, "pattern")
     points = F.when(F.col("phrase"), F.when(F.col("n_content") > 0, 12).otherwise(0) + F.when(F.col("n_heading") > 0, 18).otherwise(0))
     points = points.otherwise(3 * F.least("n_content", F.lit(3)) + 6 * F.least("n_heading", F.lit(2)))
@@ -143,6 +149,6 @@ def where_document(queries: DataFrame, docs: DataFrame, most_texts: int = 6, k:
     asked = asked.withColumn("_low", F.lower("filter_text"))
     low = docs.select("doc_id", F.lower("content").alias("_content"))
     match = F.when(F.contains("_low", F.lit("_")), F.expr("_content like concat('%', _low, '%')")).otherwise(F.contains("_content", "_low"))
-    hit = low.join(F.broadcast(asked), match)
+    hit = low.join(if_small(asked), match)
     rank = F.row_number().over(Window.partitionBy("query_id", "place").orderBy("doc_id")) - 1
     return hit.withColumn("rank", rank.cast("long")).filter(F.col("rank") < k).select("query_id", "filter_text", "doc_id", "rank")

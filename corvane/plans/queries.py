@@ -45,8 +45,11 @@ def vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vector_questions(spark: SparkSession, d: str) -> DataFrame:
-    """Every fiftieth vector asks."""
-    return vectors(spark, d).filter("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "vector", "label")
+    """Every label asks with the mean of its vectors."""
+    parts = vectors(spark, d).select("label", F.posexplode("vector").alias("i", "x"))
+    means = parts.groupBy("label", "i").agg(F.round(F.avg(F.col("x").cast("double")), 9).alias("m"))
+    vector = F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda x: x["m"])
+    return means.groupBy(F.col("label").cast("long").alias("query_id")).agg(vector.alias("vector")).withColumn("label", F.col("query_id").cast("int"))
 
 
 # ------------------------------------------------------------------ lexical routes
@@ -141,8 +144,9 @@ def where_document_route(spark, d):
 # ------------------------------------------------------------------ dense routes
 
 _DIST = """
-dist AS (SELECT q.vec_id AS query_id, e.vec_id AS doc_id, round(1 - coalesce(list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 0), 6) + 0.0 AS distance, q.label AS ql, e.label AS dl
-  FROM embeddings q, embeddings e WHERE q.vec_id % 50 = 0),
+qv AS (SELECT label AS ql, label::BIGINT AS query_id, list(m ORDER BY i) AS v FROM (
+  SELECT label, i, round(avg(x), 9) AS m FROM (SELECT label, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY ALL) GROUP BY label),
+dist AS (SELECT query_id, e.vec_id AS doc_id, round(1 - coalesce(list_cosine_similarity(v, e.embedding::DOUBLE[]), 0), 6) + 0.0 AS distance, ql, e.label AS dl FROM qv, embeddings e),
 vec AS (SELECT query_id, doc_id, distance, ql, dl, row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) - 1 AS rank FROM dist QUALIFY rank < 12)
 """
 
@@ -228,7 +232,7 @@ def rerank_cut(spark, d):
     found = vector_topk(spark, d)
     labels = vectors(spark, d)
     q = vector_questions(spark, d).select("query_id", F.col("label").alias("ql"))
-    x = found.join(labels.select("doc_id", "label"), "doc_id").join(F.broadcast(q), "query_id")
+    x = found.join(labels.select("doc_id", "label"), "doc_id").join(q, "query_id")
     return fusion.rerank_cut(x, F.when(F.col("label") == F.col("ql"), 1.0).otherwise(0.0) - F.col("distance")).select("query_id", "doc_id", "rank")
 
 
@@ -255,13 +259,13 @@ def sources_format(spark, d):
 
 # ------------------------------------------------------------------ evaluation
 
-_TRUE = f"""{_DIST}, truth AS (SELECT q.vec_id AS query_id, e.vec_id AS doc_id, 1.0 AS grade FROM embeddings q JOIN embeddings e ON q.label = e.label WHERE q.vec_id % 50 = 0),
-qs AS (SELECT vec_id AS query_id FROM embeddings WHERE vec_id % 50 = 0)"""
+_TRUE = f"""{_DIST}, truth AS (SELECT query_id, e.vec_id AS doc_id, 1.0 AS grade FROM qv JOIN embeddings e ON ql = e.label),
+qs AS (SELECT query_id FROM qv)"""
 
 
 def _truth(spark, d):
     q = vector_questions(spark, d).select("query_id", "label")
-    return vectors(spark, d).select("doc_id", "label").join(F.broadcast(q), "label").select("query_id", "doc_id")
+    return vectors(spark, d).select("doc_id", "label").join(q, "label").select("query_id", "doc_id")
 
 
 @query(f"""WITH {_TRUE}, h AS (SELECT query_id, count(DISTINCT doc_id) AS matched, count(*) AS hits, min(rank) AS first FROM vec JOIN truth USING (query_id, doc_id) WHERE rank < 5 GROUP BY ALL),
@@ -351,7 +355,7 @@ def sync_counters(spark, d):
     return versioning.version_history(arrivals(spark, d)).groupBy("change_kind").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {_SQL_ARRIVALS}, st AS (SELECT collection_code, source_key, 1 AS version, arg_max(source_hash, seq) AS source_hash, source_key::BIGINT % 3 <> 0 AS is_active FROM arrivals WHERE seq % 2 = 0 GROUP BY ALL),
+@query(f"""WITH {_SQL_ARRIVALS}, st AS (SELECT collection_code, source_key, 1 AS version, arg_max(source_hash, seq) AS source_hash, source_key::BIGINT % 3 <> 0 AS is_active FROM arrivals WHERE seq <= (SELECT max(seq) // 2 FROM arrivals) GROUP BY ALL),
 inc AS (SELECT collection_code, source_key, arg_max(source_hash, seq) AS source_hash FROM arrivals GROUP BY ALL)
 SELECT i.collection_code, i.source_key, i.source_hash, CASE WHEN st.source_hash = i.source_hash AND is_active THEN 'skip' ELSE 'insert' END AS action,
  CASE WHEN st.version IS NULL OR st.source_hash = i.source_hash THEN 1 ELSE 2 END::BIGINT AS version,
@@ -361,7 +365,8 @@ FROM inc i LEFT JOIN st USING (collection_code, source_key)""")
 def duplicate_policy(spark, d):
     a = arrivals(spark, d)
     newest = lambda x: x.groupBy("collection_code", "source_key").agg(F.max_by("source_hash", "seq").alias("source_hash"))
-    state = newest(a.filter("seq % 2 = 0")).withColumns({"version": F.lit(1).cast("long"), "is_active": F.col("source_key").cast("long") % 3 != 0})
+    half = a.agg(F.floor(F.max("seq") / 2).alias("half"))  # one row; the state as it was half-way through the log
+    state = newest(a.crossJoin(F.broadcast(half)).filter("seq <= half")).withColumns({"version": F.lit(1).cast("long"), "is_active": F.col("source_key").cast("long") % 3 != 0})
     return versioning.decide(newest(a), state)
 
 
@@ -387,12 +392,12 @@ def common_chunk_index(spark, d):
     return versioning.chunk_numbers(c).select("doc_id", "source", "chunk_index")
 
 
-@query("""WITH new AS (SELECT n_nationkey AS code, CASE WHEN n_nationkey % 2 = 0 THEN n_name END AS name, n_regionkey AS region FROM nation WHERE n_nationkey >= 3),
+@query("""WITH new AS (SELECT n_nationkey AS code, CASE WHEN n_nationkey % 2 = 0 THEN n_name END AS name, n_regionkey AS region FROM nation),
 old AS (SELECT r_regionkey AS code, r_name AS name, -1 AS region FROM region)
 SELECT coalesce(new.code, old.code) AS code, coalesce(new.name, old.name) AS name, coalesce(new.region, old.region) AS region FROM old FULL JOIN new ON old.code = new.code""")
 def collections_upsert(spark, d):
     old = table(spark, d, "region").select(F.col("r_regionkey").alias("code"), F.col("r_name").alias("name"), F.lit(-1).alias("region"))
-    new = table(spark, d, "nation").filter("n_nationkey >= 3").select(F.col("n_nationkey").alias("code"), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).alias("name"), F.col("n_regionkey").alias("region"))
+    new = table(spark, d, "nation").select(F.col("n_nationkey").alias("code"), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).alias("name"), F.col("n_regionkey").alias("region"))
     return versioning.upsert(old, new, ["code"])
 
 

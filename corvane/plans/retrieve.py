@@ -73,7 +73,7 @@ def retrieve(questions: DataFrame, corpus: DataFrame, s: Settings | None = None,
     fused = fusion.fuse(found, pool) if s.hybrid else fusion.first_route(found, pool).withColumn("final_score", F.lit(0.0))
     full = fused.select("query_id", "doc_id", "final_score", "rank").join(corpus.select("doc_id", "content", "heading"), "doc_id")
     if s.rerank and reranker is not None:
-        asked = full.join(F.broadcast(questions.select("query_id", "query")), "query_id")
+        asked = full.join(questions.select("query_id", "query"), "query_id")
         full = fusion.rerank_cut(asked, providers.relevance(F.col("query"), F.col("content"), reranker), s.k, s.k).withColumn("final_score", F.col("relevance"))
     else:
         full = full.filter(F.col("rank") < s.k)
