@@ -17,10 +17,14 @@ null doc_id is packed as any other. An empty table gives no pieces.
 from __future__ import annotations
 
 import bisect
+import json
 import re
+import sys
 import zlib
+from array import array
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -35,7 +39,7 @@ from .common import materialize
 CAPACITY = 2048
 END = 0
 #: Cached words per Python worker; beyond, the later half goes.
-CACHE = 500_000
+CACHE = 1_000_000
 
 
 # ------------------------------------------------------------------ tokens
@@ -44,41 +48,76 @@ _LETTER = "A-Za-zÀ-ÖØ-öø-ÿĀ-ſ"
 _SPACE = " \t\n\r\f\v"
 #: Splits texts as the byte-level vocabularies do, for texts without characters outside the classes below.
 _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^{_SPACE}{_LETTER}0-9]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-_OTHER = re.compile(r"[^\x00-\x1b\x20-\x7e¡¿«»À-ÖØ-öø-ÿ×÷Ā-ſ‐-‧]")
+_OTHER = re.compile(r"[^\x00-\x7f¡¿«»À-ÖØ-öø-ÿ×÷Ā-ſ‐-‧]")
 
 
 class ByteEncoder:
     """Little-endian 32-bit ids of whole texts; ids of words come from the library and are cached.
 
-    A text with other characters than those whose class is known here, or with an added token, is encoded whole
-    by the library.
+    Texts are split into words as the library splits them; words not seen before are given to it together, with its
+    own splitting off. A text with other characters than those whose class is known here, or with an added token,
+    is encoded whole by the library, and so is every text if the file asks for another splitting or normalising.
     """
 
     def __init__(self, path: str, cache: int = CACHE):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise RuntimeError("ids are written as native unsigned 32-bit numbers, which must be little-endian")
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        told = json.loads(self.library.to_str())
+        split = told["pre_tokenizer"] or {}
+        self.known = told["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        self.words_only = Tokenizer.from_file(path)
+        self.words_only.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.limit = cache
         self.words: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encode = self.library.encode
-        return [np.asarray(encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    def _learn(self, new: list[str]) -> None:
+        for k in range(0, len(new), 4096):
+            part = new[k : k + 4096]
+            e = self.words_only.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = array("I", e.ids).tobytes()
+            cuts = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(part) + 1))).tolist()
+            self.words.update((w, ids[a:b]) for w, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
+        split: list[tuple[int, list[str]]] = []
+        for k, t in enumerate(texts):
+            if not self.known or not t.isascii() and _OTHER.search(t) or any(a in t for a in self.added):
+                out[k] = array("I", self.library.encode(t, add_special_tokens=False).ids).tobytes()
+            elif t:
+                split.append((k, _SPLIT.findall(t)))
+        if len(self.words) > self.limit:
+            for w in list(islice(self.words, self.limit // 2, None)):  # what came first is mostly what comes often
+                del self.words[w]
+        self._learn(list(set().union(*(w for _, w in split)).difference(self.words)))
+        of = self.words.__getitem__
+        for k, words in split:
+            out[k] = b"".join(map(of, words))
+        return out
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _OTHER.search(text) or any(a in text for a in self.added):
-            return self._ids([text])[0]
-        words = _SPLIT.findall(text)
-        if new := list(set(words).difference(self.words)):
-            if len(self.words) > self.limit:
-                for w in list(islice(self.words, self.limit // 2, None)):  # what came first is mostly what comes often
-                    del self.words[w]
-                new = list(set(words).difference(self.words))
-            self.words.update(zip(new, self._ids(new), strict=True))
-        return b"".join(map(self.words.__getitem__, words))
+        return self.encode_batch([text])[0]
+
+    def encode_all(self, texts: Iterable[str], rows: int = 64, chars: int = 1 << 19) -> Iterator[bytes]:
+        """``encode`` of each text, some of them at a time."""
+        part, size = [], 0
+        for t in texts:
+            part.append(t)
+            size += len(t)
+            if len(part) >= rows or size >= chars:
+                yield from self.encode_batch(part)
+                part, size = [], 0
+        yield from self.encode_batch(part)
+
+
+@lru_cache(maxsize=1)
+def encoder_for(path: str) -> ByteEncoder:
+    """One encoder a Python worker: what it has learnt serves the tasks that follow."""
+    return ByteEncoder(path)
 
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
@@ -88,12 +127,13 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """The pieces of every row of ``docs``; ``nth`` numbers a task's pieces of one length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task, seen = ByteEncoder(path), TaskContext.get().partitionId(), Counter()
+        encoder, task, seen = encoder_for(path), TaskContext.get().partitionId(), Counter()
         end = np.asarray([END], "<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
-            for d, t in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = encoder.encode(t.as_py()) + end
+            texts = (t.as_py() or "" for t in batch["text"])
+            for d, ids in zip(batch["doc_id"].to_pylist(), encoder.encode_all(texts), strict=True):
+                ids += end
                 n = len(ids) // 4
                 start, length = 0, n % capacity or capacity
                 for k in range(-(-n // capacity)):

@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import islice
 
 import pyarrow as pa
@@ -116,6 +117,12 @@ class PieceCounter:
             return total + sum(map(self.after_space.__getitem__, words)) + sum(map(self.bare.__getitem__, firsts))
 
 
+@lru_cache(maxsize=1)
+def counter_for(model_path: str) -> PieceCounter:
+    """One counter a Python worker: its cache serves the tasks that follow."""
+    return PieceCounter(model_path)
+
+
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
@@ -123,7 +130,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
     """doc_id, n_bytes, n_tokens and over_limit of every row of ``docs``; ``model_path`` must exist on every executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(model_path)
+        counter = counter_for(model_path)
         for batch in batches:
             _, off = text_buffers(batch["text"])
             n = [counter.count(t) for t in (x.as_py() for x in batch["text"])]
