@@ -80,6 +80,27 @@ def test_near_dedup_star(spark):
     assert {r.doc_id: r.component_id for r in got} == want and set(want.values()) == {0}
 
 
+def test_near_dedup_stars_of_one_family(spark):
+    """Three origins that resemble each other too little, each with copies that resemble only their own origin."""
+    r = random.Random(9)
+    base = copies(8, 0, words=220)[0].split()
+    texts = []
+    for o in range(3):
+        origin = list(base)
+        for k in r.sample(range(220), 14):
+            origin[k] = f"origin{o}x{k}"
+        texts.append(" ".join(origin))
+        for i in range(40):
+            w = list(origin)
+            for k in r.sample(range(220), 5):
+                w[k] = f"copy{o}x{i}x{k}"
+            texts.append(" ".join(w))
+    rows = list(enumerate(texts))
+    want = components(rows, 3, 85)
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.doc_id: x.component_id for x in got} == want and set(want.values()) == {0, 41, 82}
+
+
 def test_connected_components(spark):
     r = random.Random(7)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(1000, 1100)]
