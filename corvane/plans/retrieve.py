@@ -17,7 +17,7 @@ REFUSAL = "no evidence was found for this question"
 
 @dataclass(frozen=True)
 class Settings:
-    """Defaults of the reference: routes on and off, sizes, thresholds."""
+    """Routes on and off, sizes and thresholds."""
 
     tfidf: bool = False
     bm25: bool = True
