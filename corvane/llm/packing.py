@@ -39,7 +39,7 @@ from .common import materialize
 CAPACITY = 2048
 END = 0
 #: Cached words per Python worker; beyond, the later half goes.
-CACHE = 1_000_000
+CACHE = 400_000
 
 
 # ------------------------------------------------------------------ tokens
