@@ -43,7 +43,10 @@ SMALL = 16
 WINDOW = 48
 #: Greatest bitmap of wanted documents: 16 MB.
 BITMAP_BITS = 27
+#: Neighbours an order that are confirmed first. No cap on what is compared: see ``region_links``.
 NEXT = 3
+#: Most members, and bytes of their sets, in a block of a large region.
+BLOCK, BLOCK_BYTES = 256, 1 << 20
 #: A candidate is confirmed if at least the threshold less this share of signature values agree: over four standard
 #: deviations of the estimate.
 SLACK = 0.21
@@ -205,7 +208,7 @@ def with_hub(members: DataFrame) -> DataFrame:
 
 
 def candidates(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a > b, agree, hub) among ``reps`` (doc, sig), and (doc, region, often) of large regions.
+    """Candidate pairs (a > b, agree, hub) among ``reps`` (doc, sig), and (doc, region, often, t) of large regions.
 
     hub marks pairs with a region's hub.
     """
@@ -218,7 +221,7 @@ def candidates(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     sizes = regions.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1")
     shared = materialize(regions.join(sizes, "region"), "forest")
     often = shared.groupBy("doc").agg(F.sum("size").alias("often"))
-    large = materialize(shared.filter(F.col("size") > SMALL).join(often, "doc").select("doc", "region", "often"), "large")
+    large = materialize(shared.filter(F.col("size") > SMALL).join(often, "doc").select("doc", "region", "often", "t"), "large")
     star = agreeing(with_hub(large), reps, least).withColumn("hub", F.lit(True))
     # sorted orders
     rotated = F.concat(F.expr(f"substring(sig, t * {width} + 1, {4 * VALUES})"), F.expr(f"substring(sig, 1, t * {width})"))
@@ -316,20 +319,21 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return sets.join(wanted, "doc", "left_semi") if few else sets
 
 
+def _linked(x: pa.Scalar, y: pa.Scalar, percent: int) -> bool:
+    """Whether two full sets reach ``percent``."""
+    x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    same = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * same >= percent * (len(x) + len(y) - same)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach ``percent``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
-            for x, y in zip(batch["x"], batch["y"], strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    ok.append(False)
-                    continue
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * same >= percent * (len(x) + len(y) - same))
-            ok = np.array(ok, bool)
+            ok = np.array([_linked(x, y, percent) for x, y in zip(batch["x"], batch["y"], strict=True)], bool)
             yield pa.record_batch({"a": pa.array(batch["a"].to_numpy()[ok]), "b": pa.array(batch["b"].to_numpy()[ok])})
 
     wide = pairs.select("a", "b").join(sets.select(F.col("doc").alias("a"), F.col("set").alias("x")), "a")
@@ -337,6 +341,70 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return wide.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _joining(x: pa.StructArray, y: pa.StructArray, same: bool, t: int, step: int, percent: int) -> list[tuple[int, int]]:
+    """Links between members (doc, own, sig, set) of two blocks, or within one, that join components ``own``."""
+    (dx, ox, gx, sx), (dy, oy, gy, sy) = x.flatten(), y.flatten()
+    dx, ox, dy, oy = (c.to_numpy() for c in (dx, ox, dy, oy))
+    gx, gy = (np.frombuffer(b"".join(g.to_pylist()), ">u4").reshape(-1, VALUES).astype(np.uint32) for g in (gx, gy))
+    agree = np.zeros((len(dx), len(dy)), np.uint8)
+    for k in range(VALUES):
+        agree += gx[:, k, None] == gy[None, :, k]
+    good = (agree / np.float32(VALUES) >= percent / 100 - SLACK) & (ox[:, None] != oy[None, :])
+    if same:
+        good &= dx[:, None] < dy[None, :]
+    i, j = np.nonzero(good)
+    # a pair that shares a region of an earlier order is compared there
+    equal, new = gx[i] == gy[j], np.ones(len(i), bool)
+    for k in range(t):
+        new &= ~equal[:, (k * step + np.arange(DEPTH)) % VALUES].all(axis=1)
+    i, j = i[new], j[new]
+    parent: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while c in parent:
+            c = parent[c]
+        return c
+
+    out = []
+    for k in np.argsort(-agree[i, j].astype(np.int16), kind="stable"):
+        a, b = find(int(ox[i[k]])), find(int(oy[j[k]]))
+        if a != b and _linked(sx[int(i[k])], sy[int(j[k])], percent):
+            parent[max(a, b)] = min(a, b)
+            out.append((int(dx[i[k]]), int(dy[j[k]])))
+    return out
+
+
+def region_links(large: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) that join two of the components ``groups`` (node, component) within a region of ``large`` (doc, region, t).
+
+    Every pair of a region's members is compared unless their components are the same: members outside the region's
+    largest component with one another and with those inside it, in pairs of blocks that any task can take. Signatures
+    pass over what is far from the threshold, sets decide in the same task, and only links leave it.
+    """
+    step = stride(percent)
+    named = large.select("doc", "region", "t").join(groups.withColumnRenamed("node", "doc"), "doc", "left").withColumn("own", F.coalesce("component", "doc")).drop("component")
+    owns = named.groupBy("region", "own").agg(F.count("*").alias("c"))
+    main = owns.groupBy("region").agg(F.max(F.struct("c", "own")).alias("x"), F.count("*").alias("owns")).filter("owns > 1").select("region", F.col("x.own").alias("main"))
+    named = named.join(main, "region").withColumn("rest", F.col("own") != F.col("main")).join(reps.select("doc", "n", "sig"), "doc")
+    named = materialize(named.select("doc", "region", "t", "own", "rest", "n", "sig"), "members")
+    sizes = named.groupBy("region", "t", "rest").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+    sizes = materialize(sizes, "sizes")
+    dealt = named.join(sizes, ["region", "t", "rest"]).join(sets, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    blocks = materialize(dealt.groupBy("region", "t", "rest", "block").agg(F.collect_list(F.struct("doc", "own", "sig", "set")).alias("members")), "blocks")
+    ids = blocks.select("region", "rest", "block")
+    pairs = ids.filter("rest").select("region", F.col("block").alias("i")).join(ids.withColumnRenamed("block", "j"), "region").filter("not rest or i <= j")
+    wide = pairs.join(blocks.filter("rest").select("region", "t", F.col("block").alias("i"), F.col("members").alias("x")), ["region", "i"])
+    wide = wide.join(blocks.select("region", "rest", F.col("block").alias("j"), F.col("members").alias("y")), ["region", "rest", "j"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y, same, t in zip(batch["x"], batch["y"], batch["same"].to_pylist(), batch["t"].to_pylist(), strict=True):
+                a, b = zip(*found, strict=True) if (found := _joining(x.values, y.values, same, t, step, percent)) else ((), ())
+                yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return wide.select("x", "y", (F.col("rest") & (F.col("i") == F.col("j"))).alias("same"), "t").mapInArrow(run, "a long, b long")
+
+
 def link_components(docs: DataFrame, words: int, percent: int, marks: DataFrame) -> DataFrame:
     """(node, component) of the class representatives in ``marks`` that are linked with another."""
     reps = materialize(marks.filter("n > 0 and doc is not null").groupBy("s1", "s2").agg(F.min(F.struct("doc", "n", "sig")).alias("x")).select("x.doc", "x.n", "x.sig"), "reps")
@@ -371,6 +439,9 @@ def link_components(docs: DataFrame, words: int, percent: int, marks: DataFrame)
             break
         links = materialize(links.union(more), "links")
         left = left.select("doc", "region", "often")
+    if not large.isEmpty():
+        groups = materialize(connected_components(links), "groups")
+        links = materialize(links.union(region_links(large, groups, reps, sets, percent)), "links")
     return connected_components(links)
 
 

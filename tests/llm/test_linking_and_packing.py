@@ -101,6 +101,31 @@ def test_near_dedup_stars_of_one_family(spark):
     assert {x.doc_id: x.component_id for x in got} == want and set(want.values()) == {0, 41, 82}
 
 
+def bridged(n=40):
+    """Two tight clusters of n, joined by one pair of which each member has closer neighbours in its own cluster."""
+    r = random.Random(12)
+    base = copies(11, 0, words=600)[0].split()
+    other, places = list(base), list(range(1, 599, 4))
+    for k in r.sample(places, 16):
+        other[k] = f"other{k}"
+    texts = []
+    for name, origin in (("a", base), ("b", other)):
+        for i in range(n):
+            w = list(origin)
+            k = r.choice([k for k in places if base[k] == other[k]])
+            w[k] = f"own{name}{i}"
+            texts.append(" ".join(w))
+    return list(enumerate([*texts, " ".join(base), " ".join(other)]))
+
+
+def test_near_dedup_joins_clusters_by_one_pair(spark):
+    rows = bridged()
+    want = components(rows, 3, 85)
+    assert set(want.values()) == {0} and set(components(rows[:-1], 3, 85).values()) == {0, 40}
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_connected_components(spark):
     r = random.Random(7)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(1000, 1100)]
