@@ -12,8 +12,8 @@
    meet it. What a partition's end and the next one's start share is streamed once more.
 3. Candidates whose signatures agree too little to reach the threshold are dropped. The best candidate of each
    document and its hubs are confirmed on full sets, components are formed, and every other candidate that still
-   joins two components is confirmed after that. Members of a large region that are not in its hub's component then
-   get a hub of their own, again and again, as long as this joins components.
+   joins two components is confirmed after that. In a large region these are only the likeliest pairs: all others
+   whose components differ by then are compared in blocks of members, so that no pair that shares a region is left out.
 
 A link needs 100 * intersection >= percent * union of full sets. With 16 orders, a pair at the threshold of 0.85
 shares no region with probability (1 - 0.85 ** 4) ** 16 = 7e-6. Lower thresholds use 32 overlapping orders.
@@ -423,22 +423,7 @@ def link_components(docs: DataFrame, words: int, percent: int, marks: DataFrame)
     rest = rest.join(groups.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left").join(groups.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left")
     rest = rest.filter(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b")
     links = materialize(links.union(confirmed(rest, sets, percent)), "links")
-    # members of a large region that are not linked with its hub may be linked with one another: they get hubs of
-    # their own, again and again, as long as that joins anything
-    left = large
-    while not left.isEmpty():
-        groups = materialize(connected_components(links), "groups")
-        named = left.join(groups.withColumnRenamed("node", "doc"), "doc", "left").withColumn("own", F.coalesce("component", "doc"))
-        top = named.groupBy("region").agg(F.max(F.struct("often", (-F.col("doc")).alias("d"), "own")).alias("x")).select("region", F.col("x.own").alias("hub_own"))
-        left = materialize(named.join(top, "region").filter("own <> hub_own").select("doc", "region", "often", "own"), "large")
-        pairs = with_hub(left)
-        own = left.select("doc", "own").distinct()
-        pairs = pairs.join(own.withColumnsRenamed({"doc": "a", "own": "ca"}), "a").join(own.withColumnsRenamed({"doc": "b", "own": "cb"}), "b").filter("ca <> cb")
-        more = materialize(confirmed(agreeing(pairs, reps, percent / 100 - SLACK), sets, percent), "links")
-        if more.isEmpty():
-            break
-        links = materialize(links.union(more), "links")
-        left = left.select("doc", "region", "often")
+    # then whatever else joins two components within a large region
     if not large.isEmpty():
         groups = materialize(connected_components(links), "groups")
         links = materialize(links.union(region_links(large, groups, reps, sets, percent)), "links")

@@ -126,6 +126,15 @@ def test_near_dedup_joins_clusters_by_one_pair(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_near_dedup_joins_clusters_far_apart_in_a_region(spark):
+    """As before, with so many members between the two that no window holds both; neither is a hub."""
+    rows = bridged(150)
+    want = components(rows, 3, 85)
+    assert set(want.values()) == {0} and set(components(rows[:-1], 3, 85).values()) == {0, 150}
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_connected_components(spark):
     r = random.Random(7)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(1000, 1100)]
