@@ -140,15 +140,22 @@ def keyword(queries: DataFrame, docs: DataFrame, k: int = 12) -> DataFrame:
 def where_document(queries: DataFrame, docs: DataFrame, most_texts: int = 6, k: int = 5) -> DataFrame:
     """(query_id, filter_text, doc_id, rank): documents that hold a filter text of a query, phrases before terms.
 
-    The text is a pattern as in ILIKE: ``_`` stands for any character.
+    The text is a pattern as in ILIKE: ``_`` stands for any character. Where queries and documents have a ``vector``,
+    each filter text gives its ``k`` documents nearest to the question by cosine, ties to the smaller doc_id; without
+    vectors the smallest doc_ids.
     """
+    from . import dense  # which imports this module
+
+    near = "vector" in queries.columns and "vector" in docs.columns
     ts = T.terms(F.col("query"))
     texts = F.slice(F.array_distinct(F.concat(T.phrases(ts), ts)), 1, most_texts)
-    asked = queries.select("query_id", F.posexplode(texts).alias("place", "filter_text"))
+    asked = queries.select("query_id", F.posexplode(texts).alias("place", "filter_text"), *[F.col("vector").alias("_qv")] * near)
     # lower-cased once a document; without a wildcard the pattern is a plain substring, which is far cheaper to look for
     asked = asked.withColumn("_low", F.lower("filter_text"))
-    low = docs.select("doc_id", F.lower("content").alias("_content"))
+    low = docs.select("doc_id", F.lower("content").alias("_content"), *[F.col("vector").alias("_dv")] * near)
     match = F.when(F.contains("_low", F.lit("_")), F.expr("_content like concat('%', _low, '%')")).otherwise(F.contains("_content", "_low"))
     hit = low.join(if_small(asked), match)
-    rank = F.row_number().over(Window.partitionBy("query_id", "place").orderBy("doc_id")) - 1
+    if near:
+        hit = hit.withColumn("_distance", F.round(1 - dense.cosine(F.col("_qv"), F.col("_dv")), DIGITS))
+    rank = F.row_number().over(Window.partitionBy("query_id", "place").orderBy(*["_distance"] * near, "doc_id")) - 1
     return hit.withColumn("rank", rank.cast("long")).filter(F.col("rank") < k).select("query_id", "filter_text", "doc_id", "rank")

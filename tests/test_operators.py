@@ -205,3 +205,14 @@ def test_retrieve_and_answer(spark):
     asked = spark.createDataFrame([(1, "apple pie"), (2, "zzz")], "query_id long, query string")
     got = {r.query_id: r for r in retrieve.answers(asked, docs, lambda p: p.split("\n")[0]).collect()}
     assert got[1].answer == "[1] cook" and got[1].sources == "cook" and got[2].answer == retrieve.REFUSAL
+
+
+def test_where_document_nearest(spark):
+    q = spark.createDataFrame([(1, "alpha", [1.0, 0.0])], "query_id long, query string, vector array<double>")
+    rows = [(i, "an Alpha text", [float(i), 9.0 - i]) for i in range(1, 9)] + [(9, "another text", [1.0, 0.0])]
+    d = spark.createDataFrame(rows, "doc_id long, content string, vector array<double>").withColumn("heading", F.lit(""))
+    found = [r.doc_id for r in sparse.where_document(q, d).orderBy("rank").collect()]
+    assert found == [8, 7, 6, 5, 4]
+    route = retrieve.routes(q, d, retrieve.Settings(bm25=False, vector=False, keyword=False))["filter"]
+    assert [r.doc_id for r in route.orderBy("rank").collect()] == found
+    assert [r.doc_id for r in sparse.where_document(q.drop("vector"), d).orderBy("rank").collect()] == [1, 2, 3, 4, 5]
