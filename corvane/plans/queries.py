@@ -555,6 +555,14 @@ def heading_level(spark, d):
     return corpus(spark, d).select("doc_id", T.heading_level(F.element_at(F.split("content", "\n"), 1)).alias("level"))
 
 
+@query(rf"""SELECT doc_id, line, ({_LEVEL})::INTEGER AS level FROM (SELECT doc_id, line, trim(regexp_replace(raw, '\s+', ' ', 'g')) AS l FROM (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line FROM documents))""")
+def heading_lines(spark, d):
+    """The level of every line of every document; lines count from 1."""
+    lines = corpus(spark, d).select("doc_id", F.posexplode(F.split("content", "\n")).alias("pos", "l"))
+    return lines.select("doc_id", (F.col("pos") + 1).cast("long").alias("line"), T.heading_level(F.col("l")).alias("level"))
+
+
 # ------------------------------------------------------------------ scalar pieces
 
 @query("""SELECT event_id, CASE WHEN regexp_matches(coalesce(props->>'k', ''), '^-?[0-9]+$') THEN (props->>'k')::INTEGER END AS k,

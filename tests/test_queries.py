@@ -34,3 +34,10 @@ def test_query(spark, sql, name):
         assert rows == sorted((tuple(plain(r[k]) for k in at) for r in want.fetchall()), key=repr)
     else:
         assert rows
+
+
+def test_heading_lines_take_whole_texts(spark, tmp_path):
+    rows = [(1, "plain text\n1.2 Scope of it\n\nmore", "en", "a"), (2, None, "en", "a")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["heading_lines"](spark, str(tmp_path)).orderBy("doc_id", "line").collect()
+    assert [tuple(r) for r in got] == [(1, 1, None), (1, 2, 2), (1, 3, None), (1, 4, None), (2, 1, None)]
