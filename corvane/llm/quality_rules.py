@@ -30,7 +30,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: They keep a group in which a measure hardly varies from rejecting its own tail; the cutoff moves with the group.
 MARGINS: dict[str, tuple[float, float | None]] = {
     "symbol_share": (0.02, None),
-    "dup_line_share": (0.30, None),
+    "dup_line_share": (0.50, None),  # of non-blank lines
     "repeat_share": (0.30, None),
     "echo_share": (0.10, None),
     "upper_share": (0.30, None),
@@ -63,6 +63,7 @@ def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
     )
     windows = F.transform(F.sequence(F.lit(1), (F.col("n_words") - 7).cast("int")), lambda i: F.xxhash64(F.slice("_h", i, 8)))
     d = d.withColumns({
+        "n_lines": F.size("_l").cast("long"),
         "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
         "_win": F.when(F.col("n_words") > 8, windows),
         "_echo": F.size(F.filter("_h", lambda x, i: x == F.get("_h", i - 1))),
@@ -84,7 +85,7 @@ def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
         *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))).alias("base_failed"),
         share("n_symbols", "word_chars").alias("m_symbol_share"),
-        share("n_dup_lines", "n_words").alias("m_dup_line_share"),
+        share("n_dup_lines", "n_lines").alias("m_dup_line_share"),
         share("n_repeat_words", "n_words").alias("m_repeat_share"),
         share("_echo", "n_words").alias("m_echo_share"),
         share("_upper", "word_chars").alias("m_upper_share"),

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -101,6 +102,20 @@ def measured(d, t):
     return d, len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(repeated), failed
 
 
+def test_quality_rules_repeated_short_lines(spark):
+    """Most lines repeat others in a varying order, which fails no base rule."""
+    words = lambda seed, n: [f"w{seed}x{i}y" for i in range(n)]
+    good = [(i, "\n".join(" ".join(words(i * 100 + j, 6)) for j in range(30)), "en", "a") for i in range(300)]
+    r = random.Random(4)
+    lines = [" ".join(words(10**6 + j, 5)) for j in range(40)]
+    order = [*range(40), *r.sample(range(40), 40), *r.sample(range(40), 40)]
+    shuffled = (1000, "\n".join(lines[j] for j in order), "en", "a")
+    docs = spark.createDataFrame([*good, shuffled], "doc_id long, text string, lang string, source string")
+    got = {x.doc_id: x for x in quality_rules.quality_rules(docs).collect()}
+    assert all(got[d].kept for d, *_ in good)
+    assert not got[1000].base_failed and not got[1000].kept
+
+
 def test_quality_rules(odd_docs, small_docs, no_docs):
     cols = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     for docs in (odd_docs, small_docs):
