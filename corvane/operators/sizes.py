@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import set_checkpoints
+
 #: Rows up to which a side is broadcast.
 MOST_ROWS = 10_000
 
@@ -20,9 +22,7 @@ def numbered(df: DataFrame, order: list[Column | str], name: str = "row", start:
     The sorted rows are checkpointed, so that both passes see the same partitions; the driver gets one count a
     partition.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/corvane")
+    set_checkpoints(df.sparkSession)
     dealt = df.orderBy(*order).checkpoint()
     dealt = dealt.select("*", F.spark_partition_id().alias("_part"), (F.monotonically_increasing_id() % (1 << 33)).alias("_nth"))
     starts, total = [], start

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import versioning
+from ..session import shared_dir
 
 STATE = "collection_code string, source_key string, version long, source_hash string, valid_from long, superseded_at long, is_active boolean"
 
@@ -53,8 +54,7 @@ def newest_state(spark: SparkSession, state_path: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/corvane").rstrip("/")
-    return f"{base}/sync-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/sync-{uuid.uuid4().hex}"
 
 
 def tumbling(events: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
