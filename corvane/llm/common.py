@@ -13,37 +13,35 @@ from __future__ import annotations
 import atexit
 import uuid
 import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no shared folder, as in tests on one machine.
-DEFAULT_SHARED = "/tmp/checkpoints/corvane"
+from ..session import set_checkpoints, shared_dir
 
-_tables: list[tuple[weakref.ref, str]] = []
+#: Tables of the running scopes, the innermost last; the first lives until the driver ends.
+_scopes: list[list[tuple[weakref.ref, str]]] = [[]]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SHARED).rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, result: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    Lineage ends at the table, which every executor can read again after another one is lost. Tables
-    live until ``release()`` or the end of the driver process.
+    Lineage ends at the table, which every executor can read again after another one is lost. The table lives until
+    the end of the innermost scope(), or of the one around that if it is the scope's ``result``, or of the driver.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    keep_until_exit(spark, path)
+    own = len(_scopes) - 1
+    _scopes[max(0, own - result)].append((weakref.ref(spark), path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 def keep_until_exit(spark: SparkSession, path: str) -> None:
-    _tables.append((weakref.ref(spark), path))
+    _scopes[0].append((weakref.ref(spark), path))
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -52,21 +50,42 @@ def drop_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
-def release() -> None:
-    """Delete the intermediate tables written so far; results that read them must be written before."""
-    while _tables:
-        ref, path = _tables.pop()
+def _drop(tables: list[tuple[weakref.ref, str]]) -> None:
+    while tables:
+        ref, path = tables.pop()
         spark = ref()
         if spark is not None and spark._jsc is not None and spark._jsc.sc() is not None:
             drop_path(spark, path)
 
 
+@contextmanager
+def scope() -> Iterator[None]:
+    """Tables that are written inside are deleted at its end; those of other queries stay."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        _drop(_scopes.pop())
+
+
 @atexit.register
 def _at_exit() -> None:
     try:
-        release()
+        _drop(_scopes[0])
     except Exception:  # the JVM may be gone by now; nothing is left to clean through it
-        _tables.clear()
+        _scopes[0].clear()
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Python gets at most ``rows`` rows at once from what runs inside: for rows that hold much."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 # ------------------------------------------------------------------ arrow
@@ -85,7 +104,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def text_chunks(column: pa.Array, limit: int = 1 << 21):
+def text_chunks(column: pa.Array, limit: int = 1 << 19):
     """Yield (first row, bytes, offsets) of consecutive rows of about ``limit`` bytes; a longer text is a chunk alone."""
     data, off = text_buffers(column)
     n, at = len(off) - 1, 0
@@ -176,9 +195,7 @@ def hash_word(word: str) -> int:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` as files in the shared folder with its partitions and their order kept."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+    set_checkpoints(df.sparkSession)
     return df.checkpoint()
 
 

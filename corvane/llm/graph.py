@@ -5,28 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, scope
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a long, b long); component is the smallest node reachable.
 
-    Edges stay distributed; the driver sees one pair of numbers a round. Ends when every edge leads to a root.
+    Edges stay distributed; the driver learns one thing a round, whether there is more to do. Ends when every edge leads to a root.
     """
-    edges = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select("b", "m", "a")
-        small = small.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
-        edges = materialize(small.filter("a <> b").distinct(), "edges")
-        now = tuple(edges.agg(F.count("*"), F.countDistinct("a"), F.coalesce(F.sum(F.col("a") % 1000003 * 31 + F.col("b") % 1000003), F.lit(0))).first())
-        if now == before or now[0] == 0:
-            break
-        before = now
-    roots = edges.select(F.col("b").alias("node")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots.select("node", F.col("node").alias("component")))
+    with scope():
+        edges = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        while True:
+            both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+            large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            large = large.filter("a <> b").distinct()
+            low = large.groupBy("a").agg(F.min("b").alias("m"))
+            small = large.join(low, "a").select("b", "m", "a")
+            small = small.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
+            edges = materialize(small.filter("a <> b").distinct(), "edges")
+            # every edge leads to a root once no node has two edges out, or one out and one in
+            ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("in")).union(edges.select("b", F.lit(0), F.lit(1)))
+            if ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("in").alias("in")).filter("out + in > 1").isEmpty():
+                break
+        roots = edges.select(F.col("b").alias("node")).distinct()
+        found = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots.select("node", F.col("node").alias("component")))
+        return materialize(found, "components", result=True)

@@ -4,15 +4,15 @@ Each source weighs by its place in code-point order. Targets share the total siz
 exceeds ``most`` times its size is clamped there and the excess is shared by weight among the others, until none
 exceeds. A source then repeats whole ``floor(target / size)`` times, and a seeded hash order of its documents takes
 part once more until the rest of the target is filled: documents whose hash is under the source's cut are taken
-once more, and the one at the cut gives only the words still missing. So each target is met to the word.
+once more, and of those that follow within the cut's bucket the one whose size is nearest to the words still missing,
+if that is nearer than none. Documents are taken whole, so a target is met to within half of such a document.
 
-The cut is found without ordering a source in one place: sizes are summed by hash bucket, about as many as the
-square root of the rows, and only the bucket that holds the cut is ordered. The plan has one row a source; it is
+The cut is found without ordering a source in one place: sizes are summed by hash bucket, one for
+about ``BUCKET_ROWS`` rows, and only the bucket that holds the cut is ordered. The plan has one row a source; it is
 broadcast only up to ``BROADCAST_ROWS`` rows.
 
 Defined results: null text has size 0; a null source is one source, last in order; a source without words has
-target 0. Rows that tie (equal doc_id and text) at the cut share what is missing evenly, rounded down. A null
-doc_id takes part as any other row.
+target 0. Rows that tie (equal doc_id and text) are taken together. A null doc_id takes part as any other row.
 """
 
 from __future__ import annotations
@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed, materialize
+from .common import checkpointed, materialize, scope
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
 BROADCAST_ROWS = 20_000
+#: Rows of all sources that share a hash bucket, about.
+BUCKET_ROWS = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -68,9 +70,9 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
 
 
 def plan(sizes: DataFrame, aims: DataFrame, most: int = MOST) -> DataFrame:
-    """(source, source_size, target, whole, cut, words): repetitions of all, the hash of the cut and the words each row at it gives."""
+    """(source, source_size, target, whole, cut, extra): repetitions of all; hashes under ``cut`` and ``extra`` are taken once more."""
     n = sizes.count()
-    bits = max(1, min(24, n.bit_length() // 2))
+    bits = max(1, min(24, (n // BUCKET_ROWS).bit_length()))
     bucket = F.shiftright("h", 64 - bits)
     whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(0).cast("long")
     aims = aims.withColumn("whole", whole).withColumn("rest", F.round(F.col("target")).cast("long") - F.col("whole") * F.col("source_size"))
@@ -82,12 +84,17 @@ def plan(sizes: DataFrame, aims: DataFrame, most: int = MOST) -> DataFrame:
     place = materialize(place.filter("before <= rest and rest < upto").select(F.col("_s").alias("b_source"), F.col("bucket").alias("b"), F.col("rest") - F.col("before")), "buckets").toDF("b_source", "b", "left")
     few = place.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     inside = sizes.join(F.broadcast(place) if few else place, sizes["source"].eqNullSafe(F.col("b_source")) & (bucket == F.col("b")))
-    ties = inside.groupBy("source", "h").agg(F.sum("size").alias("s"), F.count("*").alias("n"), F.first("left").alias("left"))
-    ties = ties.withColumn("upto", F.sum("s").over(Window.partitionBy("source").orderBy("h"))).withColumn("before", F.col("upto") - F.col("s"))
-    cut = ties.filter("before <= left and left < upto").select(F.col("source").alias("c_source"), F.col("h").alias("cut"), F.floor((F.col("left") - F.col("before")) / F.col("n")).cast("long").alias("words"))
-    out = aims.join(cut, aims["source"].eqNullSafe(cut["c_source"]), "left")
+    ties = inside.groupBy("source", "h").agg(F.sum("size").alias("s"), F.first("left").alias("left"))
+    ties = ties.withColumn("upto", F.sum("s").over(Window.partitionBy("source").orderBy("h"))).withColumn("gap", F.col("left") - F.col("upto") + F.col("s"))
+    later = ties.filter("left < upto")
+    cut = later.groupBy("source").agg(F.min(F.struct("h", "gap")).alias("x")).select(F.col("source").alias("c_source"), F.col("x.h").alias("cut"), F.col("x.gap").alias("missing"))
+    late = later.select("source", "h", "s").join(cut, F.col("source").eqNullSafe(F.col("c_source")))
+    off = F.abs(F.col("s") - F.col("missing"))
+    extra = F.when(F.min(off) < F.first("missing"), F.min(F.struct(off.alias("off"), "h"))["h"])
+    ends = late.groupBy("c_source").agg(F.first("cut").alias("cut"), extra.alias("extra"))
+    out = aims.join(ends, aims["source"].eqNullSafe(ends["c_source"]), "left")
     # no cut: what is left is the source's every word (none is left over) or nothing
-    return materialize(out.select("source", "source_size", "target", "whole", "cut", F.coalesce("words", F.lit(0).cast("long")).alias("words")), "mix-plan")
+    return materialize(out.select("source", "source_size", "target", "whole", "cut", "extra"), "mix-plan", result=True)
 
 
 def _planned(docs: DataFrame, made: DataFrame) -> DataFrame:
@@ -97,38 +104,29 @@ def _planned(docs: DataFrame, made: DataFrame) -> DataFrame:
 
 
 def _more() -> Column:
-    return F.when(F.col("h") < F.col("cut"), F.col("size")).when(F.col("h") == F.col("cut"), F.col("words")).otherwise(0)
+    """Whether a row is taken once more."""
+    return F.coalesce((F.col("h") < F.col("cut")) | (F.col("h") == F.col("extra")), F.lit(False))
 
 
-def _sizes(docs: DataFrame, seed: int) -> DataFrame:
-    return materialize(docs.select("doc_id", "source", _size().alias("size"), _hash(seed).alias("h")), "sizes")
+def _plan_of(docs: DataFrame, weights, most: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, source, size, h) of every row, and the plan."""
+    with scope():
+        sizes = docs.select("doc_id", "source", _size().alias("size"), _hash(seed).alias("h"))
+        sizes = materialize(sizes, "sizes", result=True)
+        return sizes, plan(sizes, targets(sizes, weights, most), most)
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 8) -> DataFrame:
     """doc_id, size, source_size, target and taken of every row of ``docs``."""
-    sizes = _sizes(docs, seed)
-    made = plan(sizes, targets(sizes, weights, most), most)
-    taken = (F.col("whole") * F.col("size") + _more()).cast("long")
+    sizes, made = _plan_of(docs, weights, most, seed)
+    taken = (F.col("whole") + _more().cast("long")) * F.col("size")
     return _planned(sizes, made).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 8) -> DataFrame:
-    """``docs`` as mixed: each row as often as it is taken whole, and the row at a source's cut once with the words it gives."""
-    sizes = _sizes(docs, seed)
-    made = plan(sizes, targets(sizes, weights, most), most)
-    place = {c: f"c{k}" for k, c in enumerate(docs.columns)}
-    text = place["text"]
-    wide = docs.select(*[F.col(c).alias(x) for c, x in place.items()], "source", _hash(seed).alias("h"))
-    wide = _planned(wide, made)
-    copies = (F.col("whole") + F.when(F.col("h") < F.col("cut"), 1).otherwise(0)).cast("int")
-    part = (F.col("h") == F.col("cut")) & (F.col("words") > 0)
-    kinds = F.concat(F.array_repeat(F.lit(False), copies), F.when(F.coalesce(part, F.lit(False)), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    wide = wide.select(*place.values(), "words", F.explode(kinds).alias("_cut"))
-    words = F.split(F.btrim(text, F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+")
-    cut_text = F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("words"), F.lit(1)).cast("int")), " ")
-    wide = wide.withColumn("_text", F.when(F.col("_cut"), cut_text).otherwise(F.col(text)))
-    new = {text: F.col("_text")}
-    if "n_chars" in place:
-        length = F.when(F.col("_cut"), F.length("_text")).otherwise(F.col(place["n_chars"]))
-        new[place["n_chars"]] = length.cast(docs.schema["n_chars"].dataType)
-    return wide.select(*[new.get(x, F.col(x)).alias(c) for c, x in place.items()])
+    """``docs`` as mixed: each row as often as it is taken."""
+    _, made = _plan_of(docs, weights, most, seed)
+    place = [f"c{k}" for k in range(len(docs.columns))]
+    wide = docs.select(*[F.col(c).alias(x) for c, x in zip(docs.columns, place, strict=True)], "source", _hash(seed).alias("h"))
+    copies = F.array_repeat(F.lit(0), (F.col("whole") + _more().cast("long")).cast("int"))
+    return _planned(wide, made).select(*place, F.explode(copies)).select(*place).toDF(*docs.columns)

@@ -4,16 +4,15 @@
    Rows with equal sets form a class; only the class's smallest doc_id goes on.
 2. The forest has several orders of the signature, each a rotation of it. In each order a document has a region:
    those that share the first ``DEPTH`` values. Regions with one member are dropped by a count. The rest are
-   range-partitioned by order and rotated signature, sorted and streamed, so that a large region is cut over many
-   partitions. A region of up to ``SMALL`` members gives all its pairs as candidates. In a larger one depth adapts:
-   sorted neighbours are those with the longest common prefix, and each member is paired with the ``NEXT`` of them,
-   within ``WINDOW`` places, whose whole signatures agree most with its own. Besides, each member is paired with the
-   region's hub, the member that shares regions most often, so that copies that resemble only their common origin
-   meet it. What a partition's end and the next one's start share is streamed once more.
-3. Candidates whose signatures agree too little to reach the threshold are dropped. The best candidate of each
-   document and its hubs are confirmed on full sets, components are formed, and every other candidate that still
-   joins two components is confirmed after that. In a large region these are only the likeliest pairs: all others
-   whose components differ by then are compared in blocks of members, so that no pair that shares a region is left out.
+   range-partitioned by order and rotated signature, sorted and streamed: rows that follow each other within a region
+   have the longest common prefix with one another, at whatever depth their part of the region needs, and are
+   candidates. A group of close copies, however large, is thereby linked by a number of pairs in line with its size.
+3. Each document's best candidate is confirmed on full sets and components are formed; then every other candidate
+   that still joins two components is.
+4. What sorted neighbours can't show is found by comparing a region's members, wherever a region still holds more than
+   one component: those outside its largest component with one another and with those inside, in blocks of members
+   that any task can take. Signatures and sizes pass over members without a likely partner; the others' full sets
+   decide. So every pair that shares a region and whose components differ is looked at, whatever the region's size.
 
 A link needs 100 * intersection >= percent * union of full sets. With 16 orders, a pair at the threshold of 0.85
 shares no region with probability (1 - 0.85 ** 4) ** 16 = 7e-6. Lower thresholds use 32 overlapping orders.
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_table, checkpointed, materialize, mix, partitions, span_hashes, text_chunks, word_spans
+from .common import arrow_rows, byte_table, materialize, mix, partitions, scope, span_hashes, text_chunks, word_spans
 from .graph import connected_components
 
 #: Words: runs of bytes other than space and 0x09-0x0D.
@@ -39,14 +38,14 @@ SPACED, LOW = byte_table(lambda b: not (b == 32 or 9 <= b <= 13))
 
 VALUES = 64
 DEPTH = 4
-SMALL = 16
-WINDOW = 48
 #: Greatest bitmap of wanted documents: 16 MB.
 BITMAP_BITS = 27
-#: Neighbours an order that are confirmed first. No cap on what is compared: see ``region_links``.
-NEXT = 3
-#: Most members, and bytes of their sets, in a block of a large region.
+#: Most members, and bytes of their sets, in a block of a region (a larger set is a block alone).
 BLOCK, BLOCK_BYTES = 256, 1 << 20
+#: Shingles that two blocks are compared on at once.
+COLUMNS = 4096
+#: Rows with full sets, or with blocks, that Python gets at once.
+SET_ROWS, BLOCK_ROWS = 64, 4
 #: A candidate is confirmed if at least the threshold less this share of signature values agree: over four standard
 #: deviations of the estimate.
 SLACK = 0.21
@@ -123,160 +122,49 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc"), "text").mapInArrow(run, "doc long, n long, s1 long, s2 long, sig binary")
 
 
-def _agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a == b).sum(axis=1) / VALUES
-
-
-def _nearest_pairs(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, agree): for each sorted row the NEXT rows within WINDOW places, on either side, that agree most with it."""
-    n = len(sig)
-    ahead = np.full((n, WINDOW), -1.0, np.float32)
-    for k in range(1, min(WINDOW, n - 1) + 1):
-        ahead[: n - k, k - 1] = _agree(sig[: n - k], sig[k:])
-    behind = np.full((n, WINDOW), -1.0, np.float32)
-    for k in range(1, min(WINDOW, n - 1) + 1):
-        behind[k:, k - 1] = ahead[: n - k, k - 1]
-    both = np.concatenate([ahead, behind], axis=1)
-    best = np.argsort(-both, axis=1, kind="stable")[:, :NEXT]
-    i = np.repeat(np.arange(n), best.shape[1])
-    place = best.ravel()
-    j = i + np.where(place < WINDOW, place + 1, WINDOW - 1 - place)
-    agree = both[i, place]
-    ok = agree >= 0
-    return i[ok], j[ok], agree[ok]
-
-
-def _pairs(region: np.ndarray, doc: np.ndarray, sig: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidates among sorted rows: pairs within each run of equal ``region`` whose signatures agree enough."""
-    cuts = np.flatnonzero((region[1:] != region[:-1]).any(axis=1)) + 1
-    bounds = np.concatenate([[0], cuts, [len(doc)]])
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        if b - a > SMALL:
-            i, j, agree = _nearest_pairs(sig[a:b])
-            found.append((i + a, j + a, agree))
-        elif b - a > 1:
-            i, j = np.triu_indices(b - a, 1)
-            left.append(i + a)
-            right.append(j + a)
-    i, j = np.concatenate(left), np.concatenate(right)
-    for k in range(0, len(i), 1 << 14):
-        x, y = i[k : k + (1 << 14)], j[k : k + (1 << 14)]
-        found.append((x, y, _agree(sig[x], sig[y])))
-    i, j, agree = (np.concatenate(x) for x in zip(*found, strict=True))
-    good = agree >= least
-    return doc[i[good]], doc[j[good]], agree[good].astype(np.float64)
-
-
-PAIR_SCHEMA = "a long, b long, agree double, hub boolean"
-
-
-def _pair_batch(a, b, agree) -> pa.RecordBatch:
-    return pa.record_batch({"a": pa.array(np.maximum(a, b)), "b": pa.array(np.minimum(a, b)), "agree": pa.array(agree), "hub": pa.array(np.zeros(len(a), bool))})
-
-
-def _decode(batch: pa.RecordBatch, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sig = np.frombuffer(b"".join(batch["key"].to_pylist()), ">u4").reshape(-1, VALUES)
-    t = batch["t"].to_numpy()
-    region = np.column_stack([t.astype(np.uint32), sig[:, :DEPTH]])
-    out = np.empty((len(t), VALUES), np.uint32)
-    for k in np.unique(t):
-        out[t == k] = np.roll(sig[t == k], int(k) * step, axis=1)
-    return region, batch["doc"].to_numpy(), out
-
-
-def agreeing(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
-    """(a, b, agree) of the distinct ``pairs`` whose signatures agree enough."""
+def _values(column: pa.Array) -> np.ndarray:
+    """Signatures as rows of VALUES numbers."""
+    return np.frombuffer(b"".join(column.to_pylist()), ">u4").reshape(-1, VALUES)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), ">u4").reshape(-1, VALUES) for c in ("x", "y"))
-            agree = _agree(x, y)
-            good = agree >= least
-            yield pa.record_batch({"a": pa.array(batch["a"].to_numpy()[good]), "b": pa.array(batch["b"].to_numpy()[good]), "agree": pa.array(agree[good])})
-
-    wide = pairs.select("a", "b").distinct().join(reps.select(F.col("doc").alias("a"), F.col("sig").alias("x")), "a")
-    wide = wide.join(reps.select(F.col("doc").alias("b"), F.col("sig").alias("y")), "b")
-    return wide.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, agree double")
 
-
-def with_hub(members: DataFrame) -> DataFrame:
-    """(a > b) for every member (doc, region, often) and the hub of its region, the one that shares regions most often."""
-    hubs = members.groupBy("region").agg(F.max(F.struct("often", (-F.col("doc")).alias("d"))).alias("x")).select("region", (-F.col("x.d")).alias("hub"))
-    return members.join(hubs, "region").filter("doc <> hub").select(F.greatest("doc", "hub").alias("a"), F.least("doc", "hub").alias("b"))
+def regions(reps: DataFrame, percent: int) -> DataFrame:
+    """(doc, t, region) of the members of every region with two members or more; t is the order."""
+    step = stride(percent)
+    twice = F.concat("sig", "sig")
+    prefix = [F.struct(F.lit(t).alias("t"), F.substring(twice, t * 4 * step + 1, 4 * DEPTH).alias("p")) for t in range(VALUES // step)]
+    every = reps.select("doc", F.posexplode(F.transform(F.array(*prefix), lambda x: F.xxhash64(x["t"], x["p"]))).alias("t", "region"))
+    shared = every.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1").select("region")
+    return materialize(every.join(shared, "region"), "forest")
 
 
-def candidates(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a > b, agree, hub) among ``reps`` (doc, sig), and (doc, region, often, t) of large regions.
+def neighbours(shared: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(a, b, agree), a > b, of members that follow each other in a sorted order of their region and agree enough.
 
-    hub marks pairs with a region's hub.
+    Rows that a partition's end parts from the next one's start are no pair here; their region is compared later.
     """
-    spark = reps.sparkSession
     step, least = stride(percent), percent / 100 - SLACK
-    width = 4 * step
-    twice = F.concat("sig", "sig")
-    prefix = [F.struct(F.lit(t).alias("t"), F.substring(twice, t * width + 1, 4 * DEPTH).alias("p")) for t in range(VALUES // step)]
-    regions = reps.select("doc", F.posexplode(F.transform(F.array(*prefix), lambda x: F.xxhash64(x["t"], x["p"]))).alias("t", "region"))
-    sizes = regions.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = materialize(regions.join(sizes, "region"), "forest")
-    often = shared.groupBy("doc").agg(F.sum("size").alias("often"))
-    large = materialize(shared.filter(F.col("size") > SMALL).join(often, "doc").select("doc", "region", "often", "t"), "large")
-    star = agreeing(with_hub(large), reps, least).withColumn("hub", F.lit(True))
-    # sorted orders
-    rotated = F.concat(F.expr(f"substring(sig, t * {width} + 1, {4 * VALUES})"), F.expr(f"substring(sig, 1, t * {width})"))
-    rows = shared.select("doc", "t").join(reps, "doc").select("t", rotated.alias("key"), "doc")
-    dealt = checkpointed(rows.repartitionByRange(partitions(spark), "t", "key", "doc").sortWithinPartitions("t", "key", "doc"))
+    rotated = F.concat(F.expr(f"substring(sig, t * {4 * step} + 1, {4 * VALUES})"), F.expr(f"substring(sig, 1, t * {4 * step})"))
+    rows = shared.select("doc", "t").join(reps, "doc").select("t", rotated.alias("key"), "doc", "n")
+    dealt = rows.repartitionByRange(partitions(reps.sparkSession), "t", "key", "doc").sortWithinPartitions("t", "key", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = _decode(batch, step)
+            now = [batch["t"].to_numpy(), _values(batch["key"]), batch["doc"].to_numpy(), batch["n"].to_numpy()]
             if rest is not None:
-                now = tuple(np.concatenate(x) for x in zip(rest, now, strict=True))
-            region = now[0]
-            last = np.flatnonzero((region != region[-1]).any(axis=1))
-            # rows of the region that goes on; of a large one only those that can still meet the next rows
-            keep = int(last[-1]) + 1 if len(last) else 0
-            if len(region) - keep > WINDOW:
-                yield _pair_batch(*_pairs(*now, least))
-                rest = tuple(x[max(keep, len(region) - WINDOW) :] for x in now)
-            else:
-                if keep:
-                    yield _pair_batch(*_pairs(*(x[:keep] for x in now), least))
-                rest = tuple(x[keep:] for x in now)
-        if rest is not None:
-            yield _pair_batch(*_pairs(*rest, least))
-
-    # rows at the ends of partitions, once more beside their neighbours'
-    part = dealt.withColumn("part", F.spark_partition_id())
-
-    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail, first = None, True
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if first:
-                head = batch.slice(0, WINDOW)
-                yield pa.record_batch({"seam": head["part"], "t": head["t"], "key": head["key"], "doc": head["doc"]})
-                first = False
-            both = batch if tail is None else pa.Table.from_batches([tail, batch]).combine_chunks().to_batches()[0]
-            tail = both.slice(max(0, both.num_rows - WINDOW))
-        if tail is not None:
-            yield pa.record_batch({"seam": pa.array(tail["part"].to_numpy() + 1, pa.int32()), "t": tail["t"], "key": tail["key"], "doc": tail["doc"]})
-
-    seams = part.mapInArrow(ends, "seam int, t int, key binary, doc long")
-
-    def seam(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("t", "ascending"), ("key", "ascending"), ("doc", "ascending")])
-        batch = table.combine_chunks().to_batches()[0]
-        return pa.Table.from_batches([_pair_batch(*_pairs(*_decode(batch, step), least))])
+                now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
+            t, key, doc, n = now
+            rest = [x[-1:] for x in now]
+            agree = (key[1:] == key[:-1]).sum(axis=1) / VALUES
+            good = (t[1:] == t[:-1]) & (key[1:, :DEPTH] == key[:-1, :DEPTH]).all(axis=1) & (agree >= least) & (doc[1:] != doc[:-1])
+            good &= 100 * np.minimum(n[1:], n[:-1]) >= percent * np.maximum(n[1:], n[:-1])
+            a, b = doc[1:][good], doc[:-1][good]
+            yield pa.record_batch({"a": pa.array(np.maximum(a, b)), "b": pa.array(np.minimum(a, b)), "agree": pa.array(agree[good])})
 
-    found = dealt.mapInArrow(run, PAIR_SCHEMA).union(seams.groupBy("seam").applyInArrow(seam, PAIR_SCHEMA)).union(star)
-    found = found.filter("a <> b").groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("hub").alias("hub"))
-    return materialize(found, "candidates"), large
+    found = dealt.mapInArrow(run, "a long, b long, agree double")
+    return materialize(found.groupBy("a", "b").agg(F.max("agree").alias("agree")), "candidates")
 
 
 def _bitmap(wanted: DataFrame, bits: int) -> np.ndarray:
@@ -316,7 +204,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pa.record_batch({"doc": batch["doc"], "set": pa.array(sets, pa.binary())})
 
     sets = docs.mapInArrow(run, "doc long, set binary")
-    return sets.join(wanted, "doc", "left_semi") if few else sets
+    return (sets.join(wanted, "doc", "left_semi") if few else sets).dropDuplicates(["doc", "set"])
 
 
 def _linked(x: pa.Scalar, y: pa.Scalar, percent: int) -> bool:
@@ -341,23 +229,97 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return wide.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _joining(x: pa.StructArray, y: pa.StructArray, same: bool, t: int, step: int, percent: int) -> list[tuple[int, int]]:
-    """Links between members (doc, own, sig, set) of two blocks, or within one, that join components ``own``."""
-    (dx, ox, gx, sx), (dy, oy, gy, sy) = x.flatten(), y.flatten()
+def with_components(rows: DataFrame, groups: DataFrame, doc: str, name: str) -> DataFrame:
+    """``rows`` with ``name``: the component of ``doc``, or itself where nothing is linked with it."""
+    found = groups.select(F.col("node").alias(doc), F.col("component").alias(name))
+    return rows.join(found, doc, "left").withColumn(name, F.coalesce(name, doc))
+
+
+def apart(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """(doc, t, region, own, rest) of regions that hold several components; rest: outside the largest of them."""
+    named = with_components(shared, groups, "doc", "own")
+    owns = named.groupBy("region", "own").agg(F.count("*").alias("c"))
+    main = owns.groupBy("region").agg(F.max(F.struct("c", "own")).alias("x"), F.count("*").alias("owns")).filter("owns > 1").select("region", F.col("x.own").alias("main"))
+    return named.join(main, "region").select("doc", "t", "region", "own", (F.col("own") != F.col("main")).alias("rest"))
+
+
+def block_pairs(members: DataFrame, size: int, *columns: str) -> DataFrame:
+    """(region, t, x, y, same): every two blocks of a region's members with one outside its largest component.
+
+    ``members`` (doc, t, region, rest, bytes and ``columns``) are dealt to blocks by hash, of at most about BLOCK
+    members and BLOCK_BYTES bytes; x and y are arrays of ``columns``.
+    """
+    key = ["region", "t", "rest"]
+    count = F.greatest(F.ceil(F.count("*") / size), F.ceil(F.sum("bytes") / BLOCK_BYTES))
+    sizes = members.groupBy(*key).agg(count.cast("int").alias("blocks"))
+    dealt = members.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    blocks = materialize(dealt.groupBy(*key, "block").agg(F.collect_list(F.struct(*columns)).alias("members")), "blocks")
+    rest = blocks.filter("rest")
+    ids = blocks.select("region", "rest", F.col("block").alias("j"))
+    pairs = rest.select("region", F.col("block").alias("i")).join(ids, "region").filter("not rest or i <= j")
+    wide = pairs.join(rest.select("region", "t", F.col("block").alias("i"), F.col("members").alias("x")), ["region", "i"])
+    wide = wide.join(blocks.select("region", "rest", F.col("block").alias("j"), F.col("members").alias("y")), ["region", "rest", "j"])
+    return wide.select("region", "t", "x", "y", (F.col("rest") & (F.col("i") == F.col("j"))).alias("same"))
+
+
+def likely_members(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The ``members`` (doc, t, region, own, rest) that may be linked with one of another component in their region.
+
+    A pair that shares a region of an earlier order is left to that one.
+    """
+    step = stride(percent)
+    schema = "doc long, own long, rest boolean, region long, t int"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for region, t, x, y, same in zip(batch["region"].to_pylist(), batch["t"].to_pylist(), batch["x"], batch["y"], batch["same"].to_pylist(), strict=True):
+                (dx, ox, rx, nx, gx), (dy, oy, ry, ny, gy) = ([f.to_numpy(zero_copy_only=False) for f in z[:-1]] + [_values(z[-1])] for z in (x.values.flatten(), y.values.flatten()))
+                agree = np.zeros((len(dx), len(dy)), np.uint8)
+                for k in range(VALUES):
+                    agree += gx[:, k, None] == gy[None, :, k]
+                good = (agree >= VALUES * (percent / 100 - SLACK)) & (ox[:, None] != oy[None, :])
+                good &= 100 * np.minimum(nx[:, None], ny[None, :]) >= percent * np.maximum(nx[:, None], ny[None, :])
+                for k in range(t):
+                    at = (k * step + np.arange(DEPTH)) % VALUES
+                    hx, hy = (mix(mix(g[:, at[0]].astype(np.uint64) << np.uint64(32) | g[:, at[1]]) ^ (g[:, at[2]].astype(np.uint64) << np.uint64(32) | g[:, at[3]])) for g in (gx, gy))
+                    good &= hx[:, None] != hy[None, :]
+                i, j = np.flatnonzero(good.any(axis=1)), np.flatnonzero(good.any(axis=0))
+                if same:
+                    i, j = np.union1d(i, j), j[:0]
+                found = [np.concatenate([a[i], b[j]]) for a, b in ((dx, dy), (ox, oy), (rx, ry))]
+                yield pa.record_batch({**dict(zip(("doc", "own", "rest"), map(pa.array, found), strict=True)), "region": pa.array([region] * len(found[0]), pa.int64()), "t": pa.array([t] * len(found[0]), pa.int32())})
+
+    rows = members.join(reps.select("doc", "n", "sig"), "doc").withColumn("bytes", F.lit(4 * VALUES))
+    return block_pairs(rows, BLOCK, "doc", "own", "rest", "n", "sig").mapInArrow(run, schema).distinct()
+
+
+def _shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set in ``x`` with every one in ``y``."""
+    (hx, rx), (hy, ry) = ((np.concatenate(z), np.repeat(np.arange(len(z)), [len(s) for s in z])) for z in (x, y))
+    both = np.intersect1d(hx, hy)
+    out = np.zeros((len(x), len(y)), np.float32)
+    for a in range(0, len(both), COLUMNS):
+        part = both[a : a + COLUMNS]
+        wide = []
+        for h, r, n in ((hx, rx, len(x)), (hy, ry, len(y))):
+            at = np.minimum(np.searchsorted(part, h), len(part) - 1)
+            there = part[at] == h
+            m = np.zeros((n, len(part)), np.float32)
+            m[r[there], at[there]] = 1
+            wide.append(m)
+        out += wide[0] @ wide[1].T
+    return out.astype(np.int64)
+
+
+def _joining(x: pa.StructArray, y: pa.StructArray, percent: int) -> list[tuple[int, int]]:
+    """Links between members (doc, own, set) of two blocks that join components ``own``."""
+    (dx, ox, sx), (dy, oy, sy) = x.flatten(), y.flatten()
     dx, ox, dy, oy = (c.to_numpy() for c in (dx, ox, dy, oy))
-    gx, gy = (np.frombuffer(b"".join(g.to_pylist()), ">u4").reshape(-1, VALUES).astype(np.uint32) for g in (gx, gy))
-    agree = np.zeros((len(dx), len(dy)), np.uint8)
-    for k in range(VALUES):
-        agree += gx[:, k, None] == gy[None, :, k]
-    good = (agree / np.float32(VALUES) >= percent / 100 - SLACK) & (ox[:, None] != oy[None, :])
-    if same:
-        good &= dx[:, None] < dy[None, :]
-    i, j = np.nonzero(good)
-    # a pair that shares a region of an earlier order is compared there
-    equal, new = gx[i] == gy[j], np.ones(len(i), bool)
-    for k in range(t):
-        new &= ~equal[:, (k * step + np.arange(DEPTH)) % VALUES].all(axis=1)
-    i, j = i[new], j[new]
+    sx, sy = ([np.frombuffer(s, np.uint64) for s in z.to_pylist()] for z in (sx, sy))
+    same = _shared_counts(sx, sy)
+    nx, ny = np.array([len(s) for s in sx]), np.array([len(s) for s in sy])
+    i, j = np.nonzero((100 * same >= percent * (nx[:, None] + ny[None, :] - same)) & (ox[:, None] != oy[None, :]))
+    _, once = np.unique(np.column_stack([ox[i], oy[j]]), axis=0, return_index=True)
     parent: dict[int, int] = {}
 
     def find(c: int) -> int:
@@ -366,67 +328,49 @@ def _joining(x: pa.StructArray, y: pa.StructArray, same: bool, t: int, step: int
         return c
 
     out = []
-    for k in np.argsort(-agree[i, j].astype(np.int16), kind="stable"):
+    for k in once:
         a, b = find(int(ox[i[k]])), find(int(oy[j[k]]))
-        if a != b and _linked(sx[int(i[k])], sy[int(j[k])], percent):
+        if a != b:
             parent[max(a, b)] = min(a, b)
             out.append((int(dx[i[k]]), int(dy[j[k]])))
     return out
 
 
-def region_links(large: DataFrame, groups: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) that join two of the components ``groups`` (node, component) within a region of ``large`` (doc, region, t).
-
-    Every pair of a region's members is compared unless their components are the same: members outside the region's
-    largest component with one another and with those inside it, in pairs of blocks that any task can take. Signatures
-    pass over what is far from the threshold, sets decide in the same task, and only links leave it.
-    """
-    step = stride(percent)
-    named = large.select("doc", "region", "t").join(groups.withColumnRenamed("node", "doc"), "doc", "left").withColumn("own", F.coalesce("component", "doc")).drop("component")
-    owns = named.groupBy("region", "own").agg(F.count("*").alias("c"))
-    main = owns.groupBy("region").agg(F.max(F.struct("c", "own")).alias("x"), F.count("*").alias("owns")).filter("owns > 1").select("region", F.col("x.own").alias("main"))
-    named = named.join(main, "region").withColumn("rest", F.col("own") != F.col("main")).join(reps.select("doc", "n", "sig"), "doc")
-    named = materialize(named.select("doc", "region", "t", "own", "rest", "n", "sig"), "members")
-    sizes = named.groupBy("region", "t", "rest").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
-    sizes = materialize(sizes, "sizes")
-    dealt = named.join(sizes, ["region", "t", "rest"]).join(sets, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    blocks = materialize(dealt.groupBy("region", "t", "rest", "block").agg(F.collect_list(F.struct("doc", "own", "sig", "set")).alias("members")), "blocks")
-    ids = blocks.select("region", "rest", "block")
-    pairs = ids.filter("rest").select("region", F.col("block").alias("i")).join(ids.withColumnRenamed("block", "j"), "region").filter("not rest or i <= j")
-    wide = pairs.join(blocks.filter("rest").select("region", "t", F.col("block").alias("i"), F.col("members").alias("x")), ["region", "i"])
-    wide = wide.join(blocks.select("region", "rest", F.col("block").alias("j"), F.col("members").alias("y")), ["region", "rest", "j"])
+def region_links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join two components among the ``likely`` members (doc, own, rest, region, t) of a region."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x, y, same, t in zip(batch["x"], batch["y"], batch["same"].to_pylist(), batch["t"].to_pylist(), strict=True):
-                a, b = zip(*found, strict=True) if (found := _joining(x.values, y.values, same, t, step, percent)) else ((), ())
+            for x, y in zip(batch["x"], batch["y"], strict=True):
+                a, b = zip(*found, strict=True) if (found := _joining(x.values, y.values, percent)) else ((), ())
                 yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return wide.select("x", "y", (F.col("rest") & (F.col("i") == F.col("j"))).alias("same"), "t").mapInArrow(run, "a long, b long")
+    rows = likely.join(sets, "doc").withColumn("bytes", F.octet_length("set"))
+    return block_pairs(rows, BLOCK, "doc", "own", "set").mapInArrow(run, "a long, b long")
 
 
 def link_components(docs: DataFrame, words: int, percent: int, marks: DataFrame) -> DataFrame:
     """(node, component) of the class representatives in ``marks`` that are linked with another."""
+    spark = docs.sparkSession
     reps = materialize(marks.filter("n > 0 and doc is not null").groupBy("s1", "s2").agg(F.min(F.struct("doc", "n", "sig")).alias("x")).select("x.doc", "x.n", "x.sig"), "reps")
-    found, large = candidates(reps.select("doc", "sig"), percent)
-    sizes = reps.select("doc", "n")
-    found = found.join(sizes.withColumnsRenamed({"doc": "a", "n": "na"}), "a").join(sizes.withColumnsRenamed({"doc": "b", "n": "nb"}), "b")
-    found = materialize(found.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b", "agree", "hub"), "candidates")
-    wanted = found.select(F.explode(F.array("a", "b")).alias("doc")).union(large.select("doc")).distinct()
-    sets = materialize(full_sets(docs, wanted, words).dropDuplicates(["doc"]), "sets")
-    # first the likeliest pair of each document and the hubs, then whatever still joins two components
-    best = found.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
-    first = best.union(found.filter("hub").select("a", "b")).distinct()
-    links = materialize(confirmed(first, sets, percent), "links")
-    groups = materialize(connected_components(links), "groups")
-    rest = found.join(first, ["a", "b"], "left_anti")
-    rest = rest.join(groups.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left").join(groups.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left")
-    rest = rest.filter(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b")
-    links = materialize(links.union(confirmed(rest, sets, percent)), "links")
-    # then whatever else joins two components within a large region
-    if not large.isEmpty():
-        groups = materialize(connected_components(links), "groups")
-        links = materialize(links.union(region_links(large, groups, reps, sets, percent)), "links")
+    shared = regions(reps, percent)
+    found = neighbours(shared, reps, percent)
+    with arrow_rows(spark, SET_ROWS):
+        sets = materialize(full_sets(docs, found.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), words), "sets")
+        best = found.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
+        links = materialize(confirmed(best, sets, percent), "links")
+        groups = connected_components(links)
+        other = with_components(with_components(found.join(best, ["a", "b"], "left_anti"), groups, "a", "ca"), groups, "b", "cb").filter("ca <> cb")
+        links = materialize(links.union(confirmed(other, sets, percent)), "links")
+    groups = connected_components(links)
+    with arrow_rows(spark, BLOCK_ROWS):
+        likely = materialize(likely_members(apart(shared, groups), reps, percent), "likely")
+    if likely.isEmpty():
+        return groups
+    with arrow_rows(spark, SET_ROWS):
+        sets = materialize(full_sets(docs, likely.select("doc").distinct(), words), "sets")
+    with arrow_rows(spark, BLOCK_ROWS):
+        links = materialize(links.union(region_links(likely, sets, percent)), "links")
     return connected_components(links)
 
 
@@ -434,7 +378,8 @@ def near_dedup(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (doc_id = component_id) of every row of ``docs``."""
     docs = docs.select("doc_id", "text")
     marks = materialize(sketches(docs, words), "sketches")
-    groups = link_components(docs, words, percent, marks)
+    with scope():
+        groups = materialize(link_components(docs, words, percent, marks), "groups", result=True)
     classes = marks.filter("n > 0 and doc is not null").groupBy("s1", "s2").agg(F.min("doc").alias("rep"))
     classes = classes.join(groups, classes["rep"] == groups["node"], "left").select("s1", "s2", F.coalesce("component", "rep").alias("least"))
     out = marks.select("doc", "n", "s1", "s2").join(classes, ["s1", "s2"], "left")
@@ -444,5 +389,8 @@ def near_dedup(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
 
 def keep_one(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     """``docs`` without the rows whose document is not the smallest of its component."""
-    out = materialize(near_dedup(docs, words, percent).filter("not kept").select("doc_id").distinct(), "not-kept")
-    return docs.join(out.withColumnRenamed("doc_id", "_gone"), docs["doc_id"] == F.col("_gone"), "left_anti")
+    with scope():
+        gone = materialize(near_dedup(docs, words, percent).filter("not kept").select(F.col("doc_id").alias("gone")).distinct(), "not-kept", result=True)
+    place = [f"c{k}" for k in range(len(docs.columns))]
+    doc_id = place[docs.columns.index("doc_id")]
+    return docs.toDF(*place).join(gone, F.col(doc_id) == F.col("gone"), "left_anti").toDF(*docs.columns)

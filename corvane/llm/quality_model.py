@@ -144,7 +144,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, bits: int = BITS, rank: int = RANK) -> Machine:
     marked = labels.filter(F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != 2)).select(F.col("doc_id").alias("l_id"), F.col("quality").cast("int").alias("y"))
     marked = sampled(marked.withColumnRenamed("l_id", "doc_id"), most_rows).withColumnRenamed("doc_id", "l_id")
-    rows = docs.join(marked, docs["doc_id"] == marked["l_id"]).select("doc_id", "text", "y")
+    rows = docs.select("doc_id", "text").join(marked, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -107,7 +107,7 @@ def test_quality_model(spark, odd_docs, no_docs):
     few = labels.limit(0)
     assert {round(r.score, 6) for r in quality_model.quality_scores(odd_docs, few).collect()} == {0.5}
     some = spark.createDataFrame([(1, 1, 0), (5, 0, 0), (7, 1, 1), (7, 1, 0), (None, 1, 1), (3, None, 0), (6, 0, 1)], "doc_id long, quality int, toxic int")
-    assert quality_model.quality_scores(odd_docs, some).count() == 12
+    assert quality_model.quality_scores(odd_docs.withColumnsRenamed({"pos": "y", "row": "l_id"}), some).count() == 12
     assert quality_model.quality_scores(no_docs, some).count() == 0
 
 
