@@ -1,10 +1,14 @@
 """The corpus pipeline: each stage takes the documents its predecessor kept and returns documents, the last one packs.
 
-* quality_rules: documents that the rules reject go.
-* line_dedup: repeated lines go from texts; every document stays.
-* near_dedup: of each group of near-duplicates the smallest doc_id stays.
-* mixing: documents repeat as often as their source's target takes them; the one at a source's cut is cut.
-* packing: token sequences of the mixed documents.
+* quality_rules: documents that the rules reject go; null and empty texts are among them.
+* line_dedup: repeated lines go from texts; every document stays, also one without any line left. Rows with a null
+  doc_id keep all lines.
+* near_dedup: of each group of near-duplicates the smallest doc_id stays; repeated rows of a document that stays all
+  stay, as do null doc_ids and documents without words.
+* mixing: documents repeat whole, as often as their source's target takes them; a null source is one source.
+* packing: token sequences of the mixed documents; an empty text is its end id alone.
+
+No stage depends on the order of rows; ties go by the rules of its operator. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -54,8 +58,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = spark.read.parquet(f"{sf_dir}/documents.parquet")
     place = f"{common.shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, out, sf_dir).write.parquet(f"{place}/{k}-{name}")
-        common.release()
+        with common.scope():
+            stage(spark, out, sf_dir).write.parquet(f"{place}/{k}-{name}")
         if k:
             common.drop_path(spark, f"{place}/{k - 1}-{STAGES[k - 1][0]}")
         out = spark.read.parquet(f"{place}/{k}-{name}")
