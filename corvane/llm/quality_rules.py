@@ -1,10 +1,14 @@
 """Quality rules with thresholds that follow the data (native: DataFrame functions only).
 
 Fixed rules reject very short texts and texts full of repeated 8-word windows. Every other rule gets its cutoff
-from a mergeable KLL quantile sketch of each measure per language and source: one sketch per (lang, source),
-merged to one per language and one overall for groups with too few rows. A row fails where a measure lies
-beyond its group's upper quartile plus ``spread`` times the quartiles' distance (at least a margin), or as far
-below the lower quartile.
+from mergeable KLL quantile sketches of each measure per language and source, over the rows that the fixed rules
+keep. A group's quantiles are drawn towards those of its language, and a language's towards those of all rows, as
+the group is small: by ``SHRINK`` rows' worth of the larger one. A row fails where a measure lies beyond
+
+    high quantile + times * (high quantile - median) + allowance / median size,
+
+all of its group, or, for the measure that has a lower end, as far below its lower quartile. The allowance is a number
+of occurrences in a text of the group's median size: it speaks where a measure is mostly zero and has no spread.
 
 Defined results: null or empty text has no words and fails the base rules; null lang or source form groups of
 their own; an empty table gives an empty table; ties don't matter (a row is judged by values alone).
@@ -12,12 +16,13 @@ their own; an empty table gives an empty table; ties don't matter (a row is judg
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, scope
 
 #: Characters that separate words, as a Java class and as literal characters. Fixed values.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -26,20 +31,22 @@ SPACE_CHARS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: measure -> (least distance of the upper cutoff from the upper quartile, and of the lower one from the lower, if any).
-#: They keep a group in which a measure hardly varies from rejecting its own tail; the cutoff moves with the group.
-MARGINS: dict[str, tuple[float, float | None]] = {
-    "symbol_share": (0.02, None),
-    "dup_line_share": (0.50, None),  # of non-blank lines
-    "repeat_share": (0.30, None),
-    "echo_share": (0.10, None),
-    "upper_share": (0.30, None),
-    "mark_share": (0.15, None),
-    "word_length": (3.0, 2.0),
+#: measure -> (high quantile, times its distance from the median, allowed occurrences, the size they are a share of).
+#: Repeats are rare in good and bad texts alike, so their tail counts as ordinary; of others the upper quartile.
+RULES: dict[str, tuple[float, float, float, str | None]] = {
+    "symbol_share": (0.75, 10.0, 24.0, "word_chars"),
+    "dup_line_share": (0.99, 1.0, 0.5, "n_lines"),  # of non-blank lines
+    "repeat_share": (0.99, 1.0, 24.0, "n_words"),
+    "echo_share": (0.75, 10.0, 8.0, "n_words"),
+    "upper_share": (0.75, 10.0, 16.0, "word_chars"),
+    "mark_share": (0.75, 10.0, 16.0, "n_words"),
+    "word_length": (0.75, 10.0, 0.0, None),
 }
-SPREAD = 6.0
-#: Rows a (lang, source) or lang group needs for thresholds of its own.
-LEAST_ROWS = 200
+#: Measures that may also be too low: so many times the distance of the lower quartile from the median below it.
+LOW: dict[str, float] = {"word_length": 10.0}
+SIZES = ("n_lines", "n_words", "word_chars")
+#: Rows' worth of the larger group's quantiles in a smaller group's.
+SHRINK = 100
 SKETCH_K = 400
 #: Threshold rows up to which they are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_ROWS = 20_000
@@ -82,7 +89,7 @@ def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
     share = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b)), F.lit(0.0))
     d = d.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_p")
     return d.select(
-        *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
         ((F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))).alias("base_failed"),
         share("n_symbols", "word_chars").alias("m_symbol_share"),
         share("n_dup_lines", "n_lines").alias("m_dup_line_share"),
@@ -94,67 +101,89 @@ def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def thresholds(rows: DataFrame, lang: str = "lang", source: str = "source", least_rows: int = LEAST_ROWS, spread: float = SPREAD) -> DataFrame:
-    """One row per (lang, source): ``hi_<measure>`` and ``lo_<measure>``.
+def sketched() -> dict[str, str]:
+    """Sketch name -> the column it is of."""
+    return {**{m: f"m_{m}" for m in RULES}, **{n: n for n in SIZES}}
+
+
+def quantiles_asked() -> list[tuple[str, float]]:
+    asked = [(m, q) for m, (high, *_) in RULES.items() for q in (0.5, high)] + [(m, 0.25) for m in LOW] + [(n, 0.5) for n in SIZES]
+    return sorted(set(asked))
+
+
+def quantile_name(sketch: str, q: float) -> str:
+    return f"q{round(100 * q)}_{sketch}"
+
+
+def cutoffs(q: Callable[[str, float], Column]) -> dict[str, Column]:
+    """``hi_<measure>`` and ``lo_<measure>`` from a group's quantiles ``q(sketch, share)``."""
+    out = {}
+    for m, (high, times, allowed, size) in RULES.items():
+        top = q(m, high) + times * (q(m, high) - q(m, 0.5))
+        out[f"hi_{m}"] = top + allowed / F.greatest(q(size, 0.5), F.lit(1.0)) if size else top
+    for m, times in LOW.items():
+        out[f"lo_{m}"] = q(m, 0.25) - times * (q(m, 0.5) - q(m, 0.25))
+    return out
+
+
+def thresholds(rows: DataFrame, lang: str = "lang", source: str = "source", shrink: float = SHRINK) -> DataFrame:
+    """One row per (lang, source): ``hi_<measure>`` and ``lo_<measure>``; groups none of whose rows pass the base rules have none.
 
     Partial sketches are built on the map side, so a hot group moves one sketch per task.
     """
-    sketches = rows.groupBy(F.col(lang).alias("t_lang"), F.col(source).alias("t_source")).agg(
-        F.count("*").alias("n"), *[F.kll_sketch_agg_double(f"m_{m}", SKETCH_K).alias(m) for m in MARGINS]
-    )
+    good = rows.filter(~F.col("base_failed")).groupBy(F.col(lang).alias("t_lang"), F.col(source).alias("t_source"))
+    sketches = good.agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.col(c).cast("double"), SKETCH_K).alias(k) for k, c in sketched().items()])
     sketches = materialize(sketches, "quality-sketches")
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, SKETCH_K).alias(m) for m in MARGINS]]
-    at = lambda m, q: F.kll_sketch_get_quantile_double(m, F.lit(q))
-
-    def cutoffs(x: DataFrame, prefix: str, *keys: str) -> DataFrame:
-        out = []
-        for m in MARGINS:
-            enough = F.col("n") >= least_rows
-            out += [F.when(enough, at(m, 0.25)).alias(f"{prefix}25_{m}"), F.when(enough, at(m, 0.75)).alias(f"{prefix}75_{m}")]
-        return x.select(*keys, *out)
-
-    own = cutoffs(sketches, "s", "t_lang", "t_source")
-    by_lang = cutoffs(sketches.groupBy("t_lang").agg(*merged), "l", "t_lang").withColumnRenamed("t_lang", "_lang")
-    over = sketches.agg(*merged).filter("n > 0")
-    over = over.select(*[at(m, q).alias(f"a{n}_{m}") for m in MARGINS for n, q in ((25, 0.25), (75, 0.75))], F.lit(1).alias("_one"))
-    joined = own.join(by_lang, own["t_lang"].eqNullSafe(by_lang["_lang"]), "left").withColumn("_one", F.lit(1)).join(over, "_one", "left")
-    pick = lambda q, m: F.coalesce(f"s{q}_{m}", f"l{q}_{m}", f"a{q}_{m}")
-    out = []
-    for m, (high, low) in MARGINS.items():
-        width = spread * (pick(75, m) - pick(25, m))
-        out.append((pick(75, m) + F.greatest(width, F.lit(high))).alias(f"hi_{m}"))
-        if low is not None:
-            out.append((pick(25, m) - F.greatest(width, F.lit(low))).alias(f"lo_{m}"))
-    return joined.select("t_lang", "t_source", *out)
-
-
-def judged(rows: DataFrame, cutoffs: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(k, SKETCH_K).alias(k) for k in sketched()]]
+
+    def read(x: DataFrame, prefix: str, *keys: str) -> DataFrame:
+        at = [F.kll_sketch_get_quantile_double(k, F.lit(q)).alias(prefix + quantile_name(k, q)) for k, q in quantiles_asked()]
+        return x.select(*keys, F.col("n").alias(f"{prefix}n"), *at)
+
+    own = read(sketches, "s", "t_lang", "t_source")
+    by_lang = read(sketches.groupBy("t_lang").agg(*merged), "l", "t_lang").withColumnRenamed("t_lang", "_lang")
+    over = read(sketches.agg(*merged).filter("n > 0"), "a")  # one row
+    joined = own.join(by_lang, own["t_lang"].eqNullSafe(by_lang["_lang"]), "left").withColumn("_one", F.lit(1)).join(over.withColumn("_one", F.lit(1)), "_one", "left")
+    drawn = lambda value, n, larger: (value * n + larger * shrink) / (n + shrink)
+
+    def q(sketch: str, share: float) -> Column:
+        x = quantile_name(sketch, share)
+        return drawn(F.col(f"s{x}"), F.col("sn"), drawn(F.col(f"l{x}"), F.col("ln"), F.col(f"a{x}")))
+
+    return joined.select("t_lang", "t_source", *[c.alias(k) for k, c in cutoffs(q).items()])
+
+
+def judged(rows: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """``rows`` with ``kept``: false if the base rules fail or a measure lies beyond its group's cutoff."""
-    small = cutoffs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    cutoffs = F.broadcast(cutoffs) if small else cutoffs
-    odd = reduce(Column.__or__, [(F.col(f"m_{m}") > F.col(f"hi_{m}")) for m in MARGINS] + [(F.col(f"m_{m}") < F.col(f"lo_{m}")) for m, (_, low) in MARGINS.items() if low is not None])
-    joined = rows.join(cutoffs, rows[lang].eqNullSafe(cutoffs["t_lang"]) & rows[source].eqNullSafe(cutoffs["t_source"]), "left")
+    small = limits.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    limits = F.broadcast(limits) if small else limits
+    odd = reduce(Column.__or__, [(F.col(f"m_{m}") > F.col(f"hi_{m}")) for m in RULES] + [(F.col(f"m_{m}") < F.col(f"lo_{m}")) for m in LOW])
+    joined = rows.join(limits, rows[lang].eqNullSafe(limits["t_lang"]) & rows[source].eqNullSafe(limits["t_source"]), "left")
     return joined.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False)))
 
 
+def verdicts(rows: DataFrame) -> DataFrame:
+    """Measured ``rows``, as a table, with ``kept``."""
+    with scope():
+        limits = materialize(thresholds(rows), "quality-cutoffs", result=True)
+    return judged(rows, limits)
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed and kept of every row of ``docs``."""
     rows = materialize(measured(docs.select("doc_id", "text", "lang", "source"), ["doc_id", "lang", "source"]), "quality-rows")
-    cutoffs = materialize(thresholds(rows), "quality-cutoffs")
-    return judged(rows, cutoffs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return verdicts(rows).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns.
 
-    Measures are written once, without texts, for the sketches; the filter measures again beside the texts,
-    which costs time but moves no text.
+    Rows that pass the base rules are written once with their measures, so that nothing is measured twice; the
+    sketches and the filter read that table, and no text is shuffled.
     """
-    cols = [F.col(c) for c in docs.columns]
-    wide = docs.select(F.struct(*cols).alias("_row"), "text", "lang", "source")
-    rows = materialize(measured(wide, ["lang", "source"]), "quality-rows")
-    cutoffs = materialize(thresholds(rows), "quality-cutoffs")
+    wide = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), "text", "lang", "source")
     # a filter that Catalyst pushed below the measures would work them out once more inside each lambda, so the
     # rows get a column it may not move a filter across
-    again = measured(wide, ["_row", "lang", "source"]).withColumn("_seen", F.monotonically_increasing_id())
-    return judged(again, cutoffs).filter(F.col("kept") & (F.col("_seen") >= 0)).select("_row.*")
+    rows = measured(wide, ["_row", "lang", "source"]).withColumn("_seen", F.monotonically_increasing_id())
+    rows = materialize(rows.filter(~F.col("base_failed") & (F.col("_seen") >= 0)).drop("_seen"), "quality-rows")
+    return verdicts(rows).filter("kept").select("_row.*")

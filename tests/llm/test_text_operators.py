@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pandas as pd
 import public_tokenizers
 import sentencepiece
 
@@ -116,6 +118,45 @@ def test_quality_rules_repeated_short_lines(spark):
     assert not got[1000].base_failed and not got[1000].kept
 
 
+def test_quality_rules_follow_exact_quantiles(spark):
+    """kept against the rule worked out on exact quantiles; cutoffs differ between groups, by what their texts are like."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = quality_rules.measured(docs.select("doc_id", "text", "lang", "source"), ["doc_id", "lang", "source"]).toPandas()
+    passed = rows[~rows["base_failed"]]
+
+    def own(x, of=None, n=0):
+        out = {}
+        for k, share in quality_rules.quantiles_asked():
+            v = np.quantile(x[quality_rules.sketched()[k]].astype(float), share, method="inverted_cdf")
+            out[k, share] = v if of is None else (v * n + of[k, share] * quality_rules.SHRINK) / (n + quality_rules.SHRINK)
+        return out
+
+    over = own(passed)
+    langs = {k: own(g, over, len(g)) for k, g in passed.groupby("lang")}
+    kept, limits = set(), []
+    for (lang, _), g in passed.groupby(["lang", "source"]):
+        q = own(g, langs[lang], len(g))
+        ok = pd.Series(True, index=g.index)
+        for m, (high, times, allowed, size) in quality_rules.RULES.items():
+            limit = q[m, high] + times * (q[m, high] - q[m, 0.5]) + (allowed / max(1.0, q[size, 0.5]) if size else 0.0)
+            limits.append((m, round(limit, 6)))
+            ok &= ~(g[f"m_{m}"] > limit)
+        for m, times in quality_rules.LOW.items():
+            ok &= ~(g[f"m_{m}"] < q[m, 0.25] - times * (q[m, 0.5] - q[m, 0.25]))
+        kept |= set(g["doc_id"][ok])
+    got = {r.doc_id for r in quality_rules.quality_rules(docs).collect() if r.kept}
+    assert got == kept and len(kept) < len(passed)
+    assert all(len({x for k, x in limits if k == m}) > 20 for m in quality_rules.RULES)
+    assert {r.doc_id for r in quality_rules.keep_good(docs).collect()} == kept
+
+
+def test_quality_rules_spare_good_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality_rules.quality_rules(docs).join(labels.select("doc_id", "quality"), "doc_id").filter("not base_failed").groupBy("quality", "kept").count().collect()
+    n = {(r.quality, r.kept): r["count"] for r in rows}
+    assert n.get((1, False), 0) <= 0.002 * n[1, True] and n.get((0, True), 0) <= 0.01 * n[0, False]
+
+
 def test_quality_rules(odd_docs, small_docs, no_docs):
     cols = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     for docs in (odd_docs, small_docs):
