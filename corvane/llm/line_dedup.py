@@ -4,8 +4,8 @@ Every long enough line becomes a row (key hash, document, position). Rows are ra
 and sorted, documents falling: a key that very many documents hold is thereby cut over as many partitions as its
 rows need. Partitions are streamed once; a key wholly inside one is decided there, and the at most two keys a
 partition shares with its neighbours are decided from a table of at most two rows a partition, the only thing that
-is broadcast. What comes out are positions to drop, gathered to one compressed bitmap a document; texts are never
-shuffled with the lines.
+is broadcast. What comes out are positions to drop, gathered to one compressed bitmap a document, which a join then puts
+beside the document's text.
 
 Rule: keys of at least ``least_chars`` code points that stand in at least ``least_docs`` documents lose all their
 lines except in the largest doc_id holding them.
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, partitions
+from .common import checkpointed, materialize, partitions
 
 #: What is stripped at both ends of a line, and the lower-casing of a key.
 STRIP = " \t\n\x0b\x0c\r"
@@ -85,7 +85,8 @@ def _decide(h: np.ndarray, doc: np.ndarray, least_docs: int, shared: dict) -> np
 def dropped_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) -> DataFrame:
     """(doc, row, pos) of every line to drop."""
     spark = docs.sparkSession
-    dealt = line_rows(docs, least_chars).repartitionByRange(partitions(spark), "h1", "h2", F.col("doc").desc(), "pos")
+    lines = materialize(line_rows(docs, least_chars), "lines")  # sampled and then dealt: texts are split once
+    dealt = lines.repartitionByRange(partitions(spark), "h1", "h2", F.col("doc").desc(), "pos")
     dealt = checkpointed(dealt.sortWithinPartitions("h1", "h2", F.col("doc").desc(), "pos"))
     key = F.struct("h1", "h2")
     part = dealt.withColumn("part", F.spark_partition_id())

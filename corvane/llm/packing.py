@@ -38,8 +38,10 @@ from .common import materialize
 
 CAPACITY = 2048
 END = 0
-#: Cached words per Python worker; beyond, the later half goes.
-CACHE = 400_000
+#: Cached words per Python worker, and code points in them; beyond, the later half goes.
+CACHE, CACHE_CHARS = 400_000, 4_000_000
+#: A longer word, such as a line of a script without spaces, is encoded each time it comes.
+LONGEST = 64
 
 
 # ------------------------------------------------------------------ tokens
@@ -71,7 +73,7 @@ class ByteEncoder:
         self.known = told["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
         self.words_only = Tokenizer.from_file(path)
         self.words_only.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.limit = cache
+        self.limit, self.chars = cache, 0
         self.words: dict[str, bytes] = {}
 
     def _learn(self, new: list[str]) -> None:
@@ -90,13 +92,20 @@ class ByteEncoder:
                 out[k] = array("I", self.library.encode(t, add_special_tokens=False).ids).tobytes()
             elif t:
                 split.append((k, _SPLIT.findall(t)))
-        if len(self.words) > self.limit:
-            for w in list(islice(self.words, self.limit // 2, None)):  # what came first is mostly what comes often
+        if len(self.words) > self.limit or self.chars > CACHE_CHARS:
+            for w in list(islice(self.words, len(self.words) // 2, None)):  # what came first is mostly what comes often
                 del self.words[w]
-        self._learn(list(set().union(*(w for _, w in split)).difference(self.words)))
+            self.chars = sum(map(len, self.words))
+        new = list(set().union(*(w for _, w in split)).difference(self.words))
+        self._learn(new)
         of = self.words.__getitem__
         for k, words in split:
             out[k] = b"".join(map(of, words))
+        for w in new:
+            if len(w) > LONGEST:
+                del self.words[w]
+            else:
+                self.chars += len(w)
         return out
 
     def encode(self, text: str) -> bytes:

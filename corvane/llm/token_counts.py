@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame
 from .common import text_buffers
 
 MARK = "▁"
-#: Cached segments per Python worker; beyond, the later half goes.
-CACHE = 700_000
+#: Cached segments per Python worker, and code points in them; beyond, the later half goes.
+CACHE, CACHE_CHARS = 400_000, 4_000_000
+#: Longer segments, such as lines of a script without spaces, are not cached.
+LONGEST = 64
 
 
 class PieceCounter:
@@ -51,6 +53,7 @@ class PieceCounter:
         if model.encode("a  a", out_type=str) != model.encode(f"a{MARK}{MARK}a", out_type=str) or model.encode("Ａ")[-1:] == model.encode("A")[-1:]:
             raise ValueError("the model normalises texts")
         self.limit = cache
+        self.chars = 0
         self.after_space: dict[str, int] = {}
         self.bare: dict[str, int] = {}
 
@@ -80,12 +83,18 @@ class PieceCounter:
                 heapq.heappush(heap, m | h << 16)
         return count
 
-    def _missing(self, words: list[str], cache: dict[str, int], prefix: str) -> None:
-        if len(cache) > self.limit:
-            for w in list(islice(cache, self.limit // 2, None)):  # what came first is mostly what comes often
-                del cache[w]
-        for w in set(words).difference(cache):
+    def _missing(self, words: list[str], cache: dict[str, int], prefix: str) -> int:
+        """Caches the words that are not too long; the tokens of the others."""
+        if len(cache) > self.limit or self.chars > CACHE_CHARS:
+            for c in (self.after_space, self.bare):
+                for w in list(islice(c, len(c) // 2, None)):  # what came first is mostly what comes often
+                    del c[w]
+            self.chars = sum(map(len, self.after_space)) + sum(map(len, self.bare))
+        long = [w for w in words if len(w) > LONGEST]
+        for w in {w for w in words if len(w) <= LONGEST}.difference(cache):
             cache[w] = self.merged(prefix + w)
+            self.chars += len(w)
+        return sum(self.merged(prefix + w) for w in long)
 
     def _odd_line(self, line: str) -> int:
         """A line, its first mark included, in which marks or spaces stand in runs."""
@@ -112,9 +121,9 @@ class PieceCounter:
         try:
             return total + sum(map(self.after_space.__getitem__, words)) + sum(map(self.bare.__getitem__, firsts))
         except KeyError:
-            self._missing(words, self.after_space, MARK)
-            self._missing(firsts, self.bare, "")
-            return total + sum(map(self.after_space.__getitem__, words)) + sum(map(self.bare.__getitem__, firsts))
+            total += self._missing(words, self.after_space, MARK) + self._missing(firsts, self.bare, "")
+            known = lambda ws, cache: sum(cache[w] if w in cache else self.merged(prefix + w) for w in ws if len(w) <= LONGEST for prefix in (MARK if cache is self.after_space else "",))
+            return total + known(words, self.after_space) + known(firsts, self.bare)
 
 
 @lru_cache(maxsize=1)

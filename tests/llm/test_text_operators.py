@@ -167,3 +167,16 @@ def test_quality_rules(odd_docs, small_docs, no_docs):
     kept = quality_rules.keep_good(small_docs)
     assert kept.columns == small_docs.columns
     assert kept.count() == quality_rules.quality_rules(small_docs).filter("kept").count() > 0
+
+
+def test_token_caches_are_bounded():
+    """Long segments aren't cached, and many short ones push others out."""
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    counter = token_counts.PieceCounter(PIECES, cache=50)
+    r = random.Random(8)
+    for _ in range(40):
+        t = " ".join("".join(r.choice("abcé日") for _ in range(r.choice([1, 3, 9, 63, 64, 65, 300]))) for _ in range(20))
+        t = t + "\n" + t.replace(" ", "")
+        assert counter.count(t) == len(model.encode(t))
+    assert len(counter.after_space) < 200 and max(map(len, [*counter.after_space, *counter.bare])) <= token_counts.LONGEST
+    assert counter.chars <= 200 * token_counts.LONGEST
