@@ -44,7 +44,7 @@ BITMAP_BITS = 27
 BLOCK, BLOCK_BYTES = 256, 1 << 20
 #: Shingles that two blocks are compared on at once.
 COLUMNS = 4096
-#: Rows with full sets, or with blocks, that Python gets at once.
+#: Rows with full sets or signature blocks, or with blocks of sets, that Python gets at once.
 SET_ROWS, BLOCK_ROWS = 64, 4
 #: A candidate is confirmed if at least the threshold less this share of signature values agree: over four standard
 #: deviations of the estimate.
@@ -274,11 +274,16 @@ def likely_members(members: DataFrame, reps: DataFrame, percent: int) -> DataFra
         for batch in batches:
             for region, t, x, y, same in zip(batch["region"].to_pylist(), batch["t"].to_pylist(), batch["x"], batch["y"], batch["same"].to_pylist(), strict=True):
                 (dx, ox, rx, nx, gx), (dy, oy, ry, ny, gy) = ([f.to_numpy(zero_copy_only=False) for f in z[:-1]] + [_values(z[-1])] for z in (x.values.flatten(), y.values.flatten()))
-                agree = np.zeros((len(dx), len(dy)), np.uint8)
-                for k in range(VALUES):
-                    agree += gx[:, k, None] == gy[None, :, k]
+                if len(dx) * len(dy) <= 64:  # most regions have a few members
+                    agree = (gx[:, None, :] == gy[None, :, :]).sum(axis=2)
+                else:
+                    agree = np.zeros((len(dx), len(dy)), np.uint8)
+                    for k in range(VALUES):
+                        agree += gx[:, k, None] == gy[None, :, k]
                 good = (agree >= VALUES * (percent / 100 - SLACK)) & (ox[:, None] != oy[None, :])
                 good &= 100 * np.minimum(nx[:, None], ny[None, :]) >= percent * np.maximum(nx[:, None], ny[None, :])
+                if not good.any():
+                    continue
                 for k in range(t):
                     at = (k * step + np.arange(DEPTH)) % VALUES
                     hx, hy = (mix(mix(g[:, at[0]].astype(np.uint64) << np.uint64(32) | g[:, at[1]]) ^ (g[:, at[2]].astype(np.uint64) << np.uint64(32) | g[:, at[3]])) for g in (gx, gy))
@@ -363,7 +368,7 @@ def link_components(docs: DataFrame, words: int, percent: int, marks: DataFrame)
         other = with_components(with_components(found.join(best, ["a", "b"], "left_anti"), groups, "a", "ca"), groups, "b", "cb").filter("ca <> cb")
         links = materialize(links.union(confirmed(other, sets, percent)), "links")
     groups = connected_components(links)
-    with arrow_rows(spark, BLOCK_ROWS):
+    with arrow_rows(spark, SET_ROWS):
         likely = materialize(likely_members(apart(shared, groups), reps, percent), "likely")
     if likely.isEmpty():
         return groups
