@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 #: Parts of messages that mean a provider is out of reach, so that the fallback answers.
@@ -98,3 +99,25 @@ def answer(prompt: Column, model: Callable[[str], str]) -> Column:
         return p.map(lambda x: None if x is None else model(x))
 
     return run(prompt)
+
+
+def guarded_prompt(system: str, prompt: Column) -> Column:
+    """A system text before a prompt that doesn't try to change it; null, hence no answer, for one that does."""
+    from .text import is_injection
+
+    return F.when(~F.coalesce(is_injection(prompt), F.lit(False)), F.concat(F.lit(system + "\n\n"), prompt))
+
+
+def rated(question: Column, content: Column, model: Callable[[str], str], longest: int = 3000) -> Column:
+    """A model's number for each (question, content) pair, from the first ``longest`` characters it is shown; 0 where it fails or gives none."""
+    from .text import llm_score
+
+    return llm_score(answer(F.concat_ws("\n", question, F.substring(content, 1, longest)), lambda p: quietly(model, p)))
+
+
+def quietly(model: Callable[[str], str], prompt: str) -> str | None:
+    """The model's answer, or none where it fails."""
+    try:
+        return model(prompt)
+    except Exception:
+        return None

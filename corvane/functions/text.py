@@ -100,6 +100,13 @@ def is_injection(c: Column) -> Column:
 NUMBERED = r"^\s*(?:\d+(?:\.\d+)*|[IVXLC]+|[A-Z])(?:[.\)]|\s)\s*\S+"
 
 
+def sparse_text(meta: Column, content: Column) -> Column:
+    """What lexical routes index of a document with metadata: headings, title and source in a line before the content."""
+    keys = ("H1", "H2", "H3", "H4", "title", "source")  # fixed values
+    line = F.concat_ws(" ", *[F.coalesce(F.try_element_at(meta, F.lit(k)), F.lit("")) for k in keys])
+    return F.regexp_replace(F.concat(line, F.lit("\n"), F.coalesce(content, F.lit(""))), r"(?U)^\s+|\s+$", "")
+
+
 def heading_level(line: Column) -> Column:
     """Level 1 to 6 of a numbered heading of up to 160 characters: dots in its first token plus one; null for other lines."""
     line = F.trim(F.regexp_replace(line, r"\s+", " "))
@@ -129,8 +136,10 @@ def regex_int(c: Column, default: Column | None = None, signed: bool = True) ->
 
 
 def json_object_text(c: Column) -> Column:
-    """The outermost ``{...}`` of free text."""
-    return F.nullif(F.regexp_extract(c, r"(?s)\{.*\}", 0), F.lit(""))
+    """The whole text if it is a JSON object, else its outermost ``{...}``, if that is one."""
+    is_object = lambda x: F.is_variant_null(F.try_variant_get(F.try_parse_json(x), "$", "variant")).isNotNull() & F.regexp_like(x, F.lit(r"(?s)^\s*\{.*\}\s*$"))
+    inner = F.regexp_extract(c, r"(?s)\{.*\}", 0)
+    return F.when(is_object(c), F.trim(c)).when(is_object(inner), inner)
 
 
 def llm_score(c: Column) -> Column:

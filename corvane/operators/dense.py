@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .sizes import if_small
+from .sizes import in_blocks
 from .sparse import top_k
 
 
@@ -22,25 +25,44 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def distances(queries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(query_id, doc_id, distance) of every pair: the exact scan. Few queries are broadcast; norms are worked out once a vector.
-
-    For many queries over many vectors use an index instead of the exact scan.
-    """
+    """(query_id, doc_id, distance) of every pair of a broadcastable query set; norms are worked out once a vector."""
     q = queries.select("query_id", F.col("vector").alias("qv"), F.sqrt(dot(F.col("vector"), F.col("vector"))).alias("qn"))
     d = vectors.select("doc_id", F.col("vector").alias("dv"), F.sqrt(dot(F.col("vector"), F.col("vector"))).alias("dn"))
     similar = F.coalesce(F.try_divide(dot(F.col("qv"), F.col("dv")), F.col("qn") * F.col("dn")), F.lit(0.0))
-    return d.crossJoin(if_small(q)).select("query_id", "doc_id", (F.round(1 - similar, 6) + 0.0).alias("distance"))
+    return d.crossJoin(F.broadcast(q)).select("query_id", "doc_id", (F.round(1 - similar, 6) + 0.0).alias("distance"))
 
 
 def vector_search(queries: DataFrame, vectors: DataFrame, k: int = 12, excluded: DataFrame | None = None) -> DataFrame:
-    """The ``k`` nearest, more by up to 100 for excluded ids, which are then taken out; ranks close the gaps."""
+    """The ``k`` nearest, more by up to 100 for excluded ids, which are then taken out; ranks close the gaps.
+
+    The exact scan: a stated query set against all rows, in blocks of queries, each cut to its nearest before the next.
+    """
     extra = min(excluded.count(), 100) if excluded is not None else 0
-    found = top_k(distances(queries, vectors), k + extra, score="distance", descending=False)
+    asked = queries.select("query_id", "vector")
+    parts = [top_k(distances(block, vectors), k + extra, score="distance", descending=False) for block in in_blocks(asked, "query_id")]
+    found = reduce(DataFrame.unionByName, parts)
     if excluded is not None:
         found = top_k(found.drop("rank").join(excluded.select("doc_id"), "doc_id", "left_anti"), k + extra, score="distance", descending=False)
     return found.select("query_id", "doc_id", "distance", "rank")
 
 
+def display_similarity(distance: Column) -> Column:
+    """1 / (1 + distance), a distance below 0 counting as 0."""
+    return 1 / (1 + F.greatest(distance, F.lit(0.0)))
+
+
+def over_wordings(wordings: DataFrame, vectors: DataFrame, k: int = 12, excluded: DataFrame | None = None) -> DataFrame:
+    """(query_id, doc_id, distance, rank) for questions with several wordings (query_id, variant, vector).
+
+    The wordings' lists follow each other; a document keeps its first place in them and its least distance.
+    """
+    asked = wordings.withColumn("_v", F.xxhash64("query_id", "variant"))
+    found = vector_search(asked.select(F.col("_v").alias("query_id"), "vector"), vectors, k, excluded)
+    found = found.withColumnRenamed("query_id", "_v").join(asked.select("_v", "query_id", "variant"), "_v")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("variant", "rank")) - 1
+    return found.withColumn("place", place.cast("long")).groupBy("query_id", "doc_id").agg(F.min("distance").alias("distance"), F.min("place").alias("rank"))
+
+
 def within(found: DataFrame, threshold: float = 0.9) -> DataFrame:
     return found.filter(F.col("distance") <= threshold)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import text as T
 from .sparse import DIGITS, top_k
 
 #: Routes in the order that breaks ties, and those with a reciprocal-rank part.
@@ -51,6 +52,50 @@ def rerank_cut(found: DataFrame, scores: Column, top_n: int = 3, k: int = 3) ->
     return top_k(found.withColumnRenamed("rank", "old_rank").withColumn("relevance", scores), max(1, min(top_n, k)), score="relevance")
 
 
+def pointwise(found: DataFrame, scores: Column) -> DataFrame:
+    """``found`` with ranks by a model's score of each document, earlier ranks first where they tie."""
+    order = Window.partitionBy("query_id").orderBy(F.desc("points"), "rank")
+    return found.withColumn("points", scores).withColumn("new", (F.row_number().over(order) - 1).cast("long")).drop("rank").withColumnRenamed("new", "rank")
+
+
+def listed(found: DataFrame, longest: int) -> DataFrame:
+    """(query_id, n, listing): the documents of a question, numbered from 1, as a model is shown them."""
+    items = F.array_sort(F.collect_list(F.struct("rank", F.substring("content", 1, longest).alias("content"))))
+    lines = F.transform(items, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x["content"]))
+    return found.groupBy("query_id").agg(F.count("*").cast("int").alias("n"), F.array_join(lines, "\n").alias("listing"))
+
+
+def listwise(found: DataFrame, orders: DataFrame) -> DataFrame:
+    """``found`` with ranks by a model's order of the whole list: ``orders`` (query_id, said); a question without an order keeps its ranks."""
+    n = found.groupBy("query_id").agg(F.count("*").cast("int").alias("_n"))
+    places = n.join(orders, "query_id").select("query_id", T.listed_order(F.regexp_replace("said", " ", ""), F.col("_n")).alias("_places"))
+    moved = found.join(places, "query_id", "left")
+    new = F.coalesce(F.array_position("_places", F.col("rank").cast("int")) - 1, F.col("rank"))
+    return moved.withColumn("rank", new.cast("long")).drop("_places")
+
+
+def closed_up(found: DataFrame) -> DataFrame:
+    """Ranks from 0 without gaps."""
+    return found.withColumn("rank", (F.row_number().over(Window.partitionBy("query_id").orderBy("rank")) - 1).cast("long"))
+
+
+def approved(found: DataFrame, said: Column) -> DataFrame:
+    """The documents that a model says YES to."""
+    return closed_up(found.filter(F.contains(F.upper(F.coalesce(said, F.lit(""))), F.lit("YES"))))
+
+
+def judged_evidence(found: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The documents with verdict 1 in a model's answer for their question: ``verdicts`` (query_id, said).
+
+    An answer with another number of verdicts than documents is an error, as it can't be told which it left out.
+    """
+    n = found.groupBy("query_id").agg(F.count("*").cast("int").alias("_n"))
+    marks = n.join(verdicts, "query_id", "left").select("query_id", T.verdicts(F.coalesce("said", F.lit("")), F.col("_n")).alias("_marks"), "said")
+    marks = marks.select("query_id", F.coalesce("_marks", F.raise_error(F.concat(F.lit("not a verdict a document: "), F.coalesce("said", F.lit(""))))).alias("_marks"))
+    kept = closed_up(found).join(marks, "query_id").filter(F.get("_marks", F.col("rank").cast("int")) == 1)
+    return closed_up(kept.drop("_marks"))
+
+
 def long_context_reorder(found: DataFrame) -> DataFrame:
     """Ranks interleaved so that even places come in order and odd places from the end; two or fewer stay."""
     n = F.count("*").over(Window.partitionBy("query_id"))

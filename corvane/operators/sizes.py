@@ -16,6 +16,12 @@ def if_small(df: DataFrame, most: int = MOST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def in_blocks(df: DataFrame, key: str, most: int = MOST_ROWS) -> list[DataFrame]:
+    """``df`` as broadcastable blocks of about ``most`` rows, dealt by a hash of ``key``; an empty one is one block."""
+    blocks = max(1, -(-df.count() // most))
+    return [F.broadcast(df.filter(F.pmod(F.xxhash64(key), F.lit(blocks)) == b)) for b in range(blocks)]
+
+
 def numbered(df: DataFrame, order: list[Column | str], name: str = "row", start: int = 1) -> DataFrame:
     """``df`` with global row numbers: range partitions, sorted, each numbered from the count of those before.
 

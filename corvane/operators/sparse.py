@@ -8,6 +8,7 @@ so work follows the matches; documents never meet queries that share nothing wit
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
-from .sizes import if_small
+from ..tables import materialize, scope
+from .sizes import if_small, in_blocks
 
 try:
     import ahocorasick
@@ -25,6 +27,8 @@ except ImportError:  # plain substring search finds the same
 DIGITS = 6
 #: Distinct terms and phrases up to which queries become one automaton.
 MOST_PATTERNS = 200_000
+#: Distinct grams of 16 bytes up to which their document frequencies are broadcast.
+MOST_GRAMS = 2_000_000
 
 
 def top_k(scored: DataFrame, k: int, by: str = "query_id", score: str = "score", doc: str = "doc_id", descending: bool = True) -> DataFrame:
@@ -34,22 +38,25 @@ def top_k(scored: DataFrame, k: int, by: str = "query_id", score: str = "score",
     return scored.withColumn("rank", rank.cast("long")).filter(F.col("rank") < k)
 
 
-def postings(docs: DataFrame, terms: Column) -> DataFrame:
-    """(doc_id, token, tf, dl): one row a document and token."""
-    counted = docs.select("doc_id", terms.alias("_ts")).select("doc_id", F.size("_ts").alias("dl"), F.explode("_ts").alias("token"))
-    return counted.groupBy("doc_id", "token").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
-
-
 def bm25(queries: DataFrame, docs: DataFrame, k: int = 12, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> DataFrame:
-    """BM25 with negative inverse document frequencies replaced by a share of their mean over the vocabulary."""
-    posts = postings(docs.select("doc_id", F.col("content")), T.tokens(F.col("content")))
-    size = docs.select("doc_id", F.size(T.tokens(F.col("content"))).alias("dl")).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
-    df = posts.groupBy("token").agg(F.count("*").alias("df")).crossJoin(F.broadcast(size))
-    df = df.withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+    """BM25 with negative inverse document frequencies replaced by a share of their mean over the vocabulary.
+
+    Only counts by token are shuffled for the whole vocabulary; term frequencies are made for the queries' tokens alone,
+    which pick theirs out of each text where it is read.
+    """
+    split = docs.select("doc_id", T.tokens(F.col("content")).alias("ts"))
+    size = split.agg(F.count("*").alias("n"), F.avg(F.size("ts")).alias("avgdl"))
+    df = split.select(F.explode(F.array_distinct("ts")).alias("token")).groupBy("token").agg(F.count("*").alias("df")).crossJoin(F.broadcast(size))
+    raw = F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
+    with scope():
+        df = materialize(df.select("token", "avgdl", raw.alias("raw")), "idf", result=True)
     mean = df.agg(F.avg("raw").alias("mean"))  # one row
     idf = df.crossJoin(F.broadcast(mean)).select("token", "avgdl", F.when(F.col("raw") < 0, epsilon * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
     asked = queries.select("query_id", F.explode(T.tokens(F.col("query"))).alias("token")).groupBy("query_id", "token").agg(F.count("*").alias("times"))
-    wanted = asked.join(idf, "token")
+    wanted = if_small(asked.join(idf, "token"), MOST_PATTERNS)
+    tokens = if_small(asked.select("token").distinct(), MOST_PATTERNS)
+    posts = split.select("doc_id", F.size("ts").alias("dl"), F.explode("ts").alias("token")).join(tokens, "token", "left_semi")
+    posts = posts.groupBy("doc_id", "token").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
     part = F.col("times") * F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     scored = posts.join(wanted, "token").groupBy("query_id", "doc_id").agg(F.round(F.sum(part), DIGITS).alias("score"))
     return top_k(scored.filter("score > 0"), k)
@@ -67,18 +74,37 @@ def char_grams(c: Column, least: int = 2, most: int = 5) -> Column:
     return F.flatten(F.transform(padded, of))
 
 
+def gram_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, g, tf) of the 64-bit hashes of grams. Texts are dealt out by key once; words and grams are counted where they then are."""
+    spark = texts.sparkSession
+    dealt = texts.select(key, text).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    words = dealt.select(key, F.explode(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")).alias("w")).groupBy(key, "w").agg(F.count("*").alias("n"))
+    grams = F.transform(char_grams(F.col("w")), lambda g: F.xxhash64(g))
+    return words.select(key, "n", F.explode(grams).alias("g")).groupBy(key, "g").agg(F.sum("n").alias("tf"))
+
+
 def tfidf(queries: DataFrame, docs: DataFrame, k: int = 12) -> DataFrame:
-    """Cosine of L2-normalised vectors with weight (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1) over character grams."""
-    posts = postings(docs.select("doc_id", "content"), char_grams(F.col("content")))
+    """Cosine of L2-normalised vectors with weight (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1) over character grams.
+
+    Two passes over the corpus: document frequencies, then each document's norm together with its weights at the
+    queries' grams. Grams are never written or shuffled with their documents while frequencies fit a broadcast.
+    """
+    posts = gram_counts(docs, "doc_id", "content")
     total = docs.agg(F.count("*").alias("n"))
-    idf = posts.groupBy("token").agg(F.count("*").alias("df")).crossJoin(F.broadcast(total))
-    idf = idf.select("token", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    weigh = lambda x, key: x.join(idf, "token").withColumn("w", (1 + F.log("tf")) * F.col("idf")).select(key, "token", "w")
-    d = weigh(posts, "doc_id")
-    q = weigh(postings(queries.select(F.col("query_id").alias("doc_id"), F.col("query")), char_grams(F.col("query"))), "doc_id").withColumnRenamed("doc_id", "query_id")
-    norm = lambda x, key, name: x.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(name))
-    dots = q.withColumnRenamed("w", "qw").join(d, "token").groupBy("query_id", "doc_id").agg(F.sum(F.col("qw") * F.col("w")).alias("dot"))
-    scored = dots.join(norm(q, "query_id", "qn"), "query_id").join(norm(d, "doc_id", "dn"), "doc_id")
+    idf = posts.groupBy("g").agg(F.count("*").alias("df")).crossJoin(F.broadcast(total))
+    with scope():
+        idf = materialize(idf.select("g", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf")), "gram-idf", result=True)
+    weight = (1 + F.log("tf")) * F.col("idf")
+    q = gram_counts(queries, "query_id", "query").join(idf, "g").select("query_id", "g", weight.alias("qw"))
+    with scope():
+        q = materialize(q, "query-grams", result=True)
+    norms = q.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
+    asked = idf.join(q.select("g").distinct().withColumn("asked", F.lit(True)), "g", "left")
+    w = posts.join(if_small(asked, MOST_GRAMS), "g").withColumn("w", weight)
+    d = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dn"), F.collect_list(F.when(F.col("asked"), F.struct("g", "w"))).alias("at"))
+    hit = d.select("doc_id", "dn", F.explode("at").alias("x")).select("doc_id", "dn", "x.g", "x.w")
+    dots = hit.join(if_small(q, MOST_PATTERNS), "g").groupBy("query_id", "doc_id").agg(F.sum(F.col("qw") * F.col("w")).alias("dot"), F.first("dn").alias("dn"))
+    scored = dots.join(norms, "query_id")
     return top_k(scored.select("query_id", "doc_id", F.round(F.col("dot") / (F.col("qn") * F.col("dn")), DIGITS).alias("score")).filter("score > 0"), k)
 
 
@@ -99,9 +125,22 @@ def _found(text: str, machine, patterns: list[str]) -> dict[int, int]:
     return counts
 
 
-def pattern_counts(docs: DataFrame, patterns: list[str]) -> DataFrame:
-    """(doc_id, pattern, n_content, n_heading): patterns that stand in a document, found in one pass over its text."""
+def pattern_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(doc_id, pattern, n_content, n_heading): ``patterns`` (pattern) that stand in a document.
 
+    One automaton of at most about MOST_PATTERNS patterns passes over each text; more patterns take further passes.
+    """
+    with scope():
+        patterns = materialize(patterns.distinct(), "patterns", result=True)
+    blocks = max(1, -(-patterns.count() // MOST_PATTERNS))
+    parts = []
+    for b in range(blocks):
+        own = patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == b)
+        parts.append(_block_counts(docs, sorted(r.pattern for r in own.collect())))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _block_counts(docs: DataFrame, patterns: list[str]) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         machine = None
         if ahocorasick is not None and patterns:
@@ -122,16 +161,12 @@ def pattern_counts(docs: DataFrame, patterns: list[str]) -> DataFrame:
 def keyword(queries: DataFrame, docs: DataFrame, k: int = 12) -> DataFrame:
     """Keyword scores: 12 for a phrase in the content and 18 in the heading; 3 a term in the content, up to 3 times, and 6 in the heading, up to twice.
 
-    The queries' terms and phrases, few by nature, become one automaton that passes over each text once; what it
-    finds is joined with the queries on the term, so documents meet only queries they match.
+    The queries' terms and phrases become an automaton that passes over each text; what it finds is joined with the
+    queries on the term, so documents meet only queries they match.
     """
     asked = queries.select("query_id", T.terms(F.col("query")).alias("ts")).withColumn("ps", T.phrases(F.col("ts")))
     kinds = asked.select("query_id", F.explode("ts").alias("pattern"), F.lit(False).alias("phrase")).union(asked.select("query_id", F.explode("ps"), F.lit(True)))
-    patterns = [r.pattern for r in kinds.select("pattern").distinct().limit(MOST_PATTERNS + 1).collect()]
-    if len(patterns) > MOST_PATTERNS:  # too many for one automaton: score pairs in a nested loop, without Python
-        scored = docs.crossJoin(asked).select("query_id", "doc_id", T.keyword_score(F.col("content"), F.coalesce(F.col("heading"), F.lit("")), F.col("ts"), F.col("ps")).cast("double").alias("score"))
-        return top_k(scored.filter("score > 0"), k)
-    found = pattern_counts(docs, sorted(patterns)).join(kinds, "pattern")
+    found = pattern_counts(docs, kinds.select("pattern")).join(if_small(kinds, MOST_PATTERNS), "pattern")
     points = F.when(F.col("phrase"), F.when(F.col("n_content") > 0, 12).otherwise(0) + F.when(F.col("n_heading") > 0, 18).otherwise(0))
     points = points.otherwise(3 * F.least("n_content", F.lit(3)) + 6 * F.least("n_heading", F.lit(2)))
     return top_k(found.groupBy("query_id", "doc_id").agg(F.sum(points).cast("double").alias("score")), k)
@@ -142,7 +177,8 @@ def where_document(queries: DataFrame, docs: DataFrame, most_texts: int = 6, k:
 
     The text is a pattern as in ILIKE: ``_`` stands for any character. Where queries and documents have a ``vector``,
     each filter text gives its ``k`` documents nearest to the question by cosine, ties to the smaller doc_id; without
-    vectors the smallest doc_ids.
+    vectors the smallest doc_ids. Plain texts are found by the automaton in one pass; only those with a wildcard are
+    compared with every text.
     """
     from . import dense  # which imports this module
 
@@ -150,12 +186,28 @@ def where_document(queries: DataFrame, docs: DataFrame, most_texts: int = 6, k:
     ts = T.terms(F.col("query"))
     texts = F.slice(F.array_distinct(F.concat(T.phrases(ts), ts)), 1, most_texts)
     asked = queries.select("query_id", F.posexplode(texts).alias("place", "filter_text"), *[F.col("vector").alias("_qv")] * near)
-    # lower-cased once a document; without a wildcard the pattern is a plain substring, which is far cheaper to look for
-    asked = asked.withColumn("_low", F.lower("filter_text"))
-    low = docs.select("doc_id", F.lower("content").alias("_content"), *[F.col("vector").alias("_dv")] * near)
-    match = F.when(F.contains("_low", F.lit("_")), F.expr("_content like concat('%', _low, '%')")).otherwise(F.contains("_content", "_low"))
-    hit = low.join(if_small(asked), match)
+    asked = asked.withColumn("pattern", F.lower("filter_text"))
+    low = docs.select("doc_id", F.lower("content").alias("content"), F.lit("").alias("heading"), *["vector"] * near)
+    wild = F.contains("pattern", F.lit("_"))
+    found = pattern_counts(low, asked.filter(~wild).select("pattern")).select("doc_id", "pattern")
+    patterns = asked.filter(wild).select("pattern").distinct()
+    for block in in_blocks(patterns, "pattern"):
+        odd = low.join(block, F.expr("content like concat('%', pattern, '%')")).select("doc_id", "pattern")
+        found = found.unionByName(odd)
+    hit = found.join(if_small(asked, MOST_PATTERNS), "pattern")
     if near:
-        hit = hit.withColumn("_distance", F.round(1 - dense.cosine(F.col("_qv"), F.col("_dv")), DIGITS))
+        hit = hit.join(docs.select("doc_id", F.col("vector").alias("_dv")), "doc_id").withColumn("_distance", F.round(1 - dense.cosine(F.col("_qv"), F.col("_dv")), DIGITS))
     rank = F.row_number().over(Window.partitionBy("query_id", "place").orderBy(*["_distance"] * near, "doc_id")) - 1
     return hit.withColumn("rank", rank.cast("long")).filter(F.col("rank") < k).select("query_id", "filter_text", "doc_id", "rank")
+
+
+def over_variants(search, queries: DataFrame, docs: DataFrame, k: int, score: str = "score", descending: bool = True) -> DataFrame:
+    """``search(queries, docs, k)`` for questions with several wordings, rows of one query_id: the best score of each document counts.
+
+    Each wording is searched by itself, so that a wording given twice changes nothing.
+    """
+    asked = queries.dropDuplicates(["query_id", "query"]).withColumn("_v", F.xxhash64("query_id", "query"))
+    found = search(asked.drop("query_id").withColumnRenamed("_v", "query_id"), docs, k).drop("rank").withColumnRenamed("query_id", "_v")
+    best = F.max(score) if descending else F.min(score)
+    merged = found.join(asked.select("_v", "query_id"), "_v").groupBy("query_id", "doc_id").agg(best.alias(score))
+    return top_k(merged, k, score=score, descending=descending)

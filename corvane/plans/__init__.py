@@ -1 +1,6 @@
 """Composed plans and the registered queries."""
+
+from . import composed, queries
+
+QUERIES, ORACLES = queries.QUERIES, queries.ORACLES
+assert composed

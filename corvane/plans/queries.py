@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .. import tables
 from ..functions import text as T
-from ..operators import chunking, dense, evaluation, fusion, ingest, sparse, versioning
+from ..operators import chunking, dense, evaluation, fusion, ingest, sizes, sparse, versioning
 from ..sources import sinks
 from ..streaming import sync
 from . import retrieve
@@ -181,7 +183,23 @@ def pairwise_cosine(spark, d):
     return a.join(b, F.col("b_id") == F.col("a_id") + 1).select("a_id", "b_id", (F.round(dense.cosine(F.col("x"), F.col("y")), 6) + 0.0).alias("similarity"))
 
 
-@query(None)
+def mmr_sql(found: str, k: int) -> str:
+    """CTEs of the greedy choice of ``k`` among ``found`` (query_id, doc_id, rank, dv, qv): one step a place."""
+    steps = [
+        f"mc AS MATERIALIZED (SELECT query_id, doc_id, rank, dv, list_cosine_similarity(dv, qv) AS rel FROM {found})",
+        "ms AS MATERIALIZED (SELECT a.query_id, a.doc_id, b.doc_id AS other, list_cosine_similarity(a.dv, b.dv) AS like_other FROM mc a JOIN mc b USING (query_id))",
+        "m0 AS MATERIALIZED (SELECT query_id, doc_id, 0 AS rank FROM mc QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(0.5 * rel, 9) DESC, rank) = 1)",
+    ]
+    for i in range(1, k):
+        steps.append(f"""m{i} AS MATERIALIZED (SELECT query_id, doc_id, rank FROM m{i - 1} UNION ALL
+  SELECT query_id, doc_id, {i} FROM (SELECT mc.query_id, mc.doc_id, mc.rank, round(0.5 * any_value(rel) - 0.5 * max(like_other), 9) AS score
+    FROM mc JOIN ms USING (query_id, doc_id) JOIN m{i - 1} x ON x.query_id = mc.query_id AND x.doc_id = other
+    WHERE NOT EXISTS (SELECT 1 FROM m{i - 1} y WHERE y.query_id = mc.query_id AND y.doc_id = mc.doc_id) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, rank) = 1)""")
+    return ",\n".join(steps)
+
+
+@query(f"WITH {_DIST}, mf AS (SELECT query_id, vec.doc_id, rank, e.embedding::DOUBLE[] AS dv, qv.v AS qv FROM vec JOIN embeddings e ON e.vec_id = vec.doc_id JOIN qv USING (query_id)), {mmr_sql('mf', 8)} SELECT query_id, doc_id, rank::BIGINT AS rank FROM m7")
 def mmr_select(spark, d):
     return dense.mmr(vector_questions(spark, d), vectors(spark, d))
 
@@ -289,7 +307,10 @@ def metrics_ap_ndcg_hit(spark, d):
 
 def _cases(spark, d):
     docs = corpus(spark, d).select("doc_id", "content")
-    hit = questions(spark, d).join(docs, F.contains("content", "query"), "left")
+    asked = questions(spark, d)
+    # texts that hold a question are looked for with the questions broadcast, never the corpus; then every question again
+    hits = [docs.join(block, F.contains("content", "query")).select("query_id", "doc_id") for block in sizes.in_blocks(asked, "query_id")]
+    hit = asked.join(reduce(DataFrame.unionByName, hits), "query_id", "left")
     ids = F.array_sort(F.collect_set(F.col("doc_id").cast("string")))
     return hit.groupBy(F.col("query_id").alias("case_id"), F.col("query").alias("question")).agg(ids.alias("ground_truth_rows")).withColumns({"relevant_ids": F.array().cast("array<string>"), "held_out": F.col("case_id") % 7 == 0})
 
@@ -372,12 +393,19 @@ def duplicate_policy(spark, d):
 
 @query(f"WITH {_SNAPSHOT} SELECT *, superseded_at IS NULL AS is_active FROM snap")
 def events_sync_stream(spark, d):
-    """The arrivals as a stream of files, merged batch after batch; the state must be the batch snapshot."""
+    """The arrivals as a stream that grows by a quarter of the log between runs; the state must be the batch snapshot.
+
+    Each run is one batch that merges with the state of the run before; a last run finds nothing new.
+    """
     place = sync.work_dir(spark)
-    arrivals(spark, d).repartitionByRange(4, "seq").sortWithinPartitions("seq").write.parquet(f"{place}/in")
+    every = arrivals(spark, d)
+    last = every.agg(F.max("seq")).first()[0] or 0
     schema = "collection_code string, source_key string, source_hash string, seq long"
-    stream = spark.readStream.schema(schema).parquet(f"{place}/in")
-    sync.sync_stream(stream, f"{place}/state", f"{place}/checkpoint").awaitTermination()
+    for k in range(5):
+        every.filter(F.floor(F.col("seq") * 4 / (last + 1)) == k).write.mode("append").parquet(f"{place}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{place}/in")
+        sync.sync_stream(stream, f"{place}/state", f"{place}/checkpoint").awaitTermination()
+    tables.keep_until_exit(spark, place)
     return sync.newest_state(spark, f"{place}/state")
 
 
@@ -529,7 +557,7 @@ def paragraph_split(spark, d):
 
 @query(None)
 def chunk_character(spark, d):
-    return chunking.chunk_lines(corpus(spark, d))
+    return chunking.chunk_character(corpus(spark, d))
 
 
 @query(r"""WITH t AS (SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS ts FROM documents),
@@ -550,9 +578,13 @@ def markdown_sections(spark, d):
 _LEVEL = r"CASE WHEN length(l) <= 160 AND regexp_matches(l, '(?i)^\s*(?:\d+(?:\.\d+)*|[IVXLC]+|[A-Z])(?:[.\)]|\s)\s*\S+') THEN least(6, 1 + length(split_part(l, ' ', 1)) - length(replace(split_part(l, ' ', 1), '.', ''))) END"
 
 
-@query(rf"SELECT doc_id, ({_LEVEL})::INTEGER AS level FROM (SELECT doc_id, trim(regexp_replace(split_part(text, chr(10), 1), '\s+', ' ', 'g')) AS l FROM documents)")
+@query(rf"""SELECT doc_id, count(level) AS n_headings, min(level)::INTEGER AS level, min(CASE WHEN level IS NOT NULL THEN line END) AS first_line FROM (
+  SELECT doc_id, line, {_LEVEL} AS level FROM (SELECT doc_id, line, trim(regexp_replace(raw, '\s+', ' ', 'g')) AS l FROM (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line FROM documents))) GROUP BY doc_id""")
 def heading_level(spark, d):
-    return corpus(spark, d).select("doc_id", T.heading_level(F.element_at(F.split("content", "\n"), 1)).alias("level"))
+    """Headings of every document over all its lines: how many, the highest level and the first one's line."""
+    levels = heading_lines(spark, d)
+    return levels.groupBy("doc_id").agg(F.count("level").alias("n_headings"), F.min("level").alias("level"), F.min(F.when(F.col("level").isNotNull(), F.col("line"))).alias("first_line"))
 
 
 @query(rf"""SELECT doc_id, line, ({_LEVEL})::INTEGER AS level FROM (SELECT doc_id, line, trim(regexp_replace(raw, '\s+', ' ', 'g')) AS l FROM (
@@ -582,15 +614,17 @@ def json_merge(spark, d):
 
 
 @query(r"""SELECT conv_id, turn, CASE WHEN len(v) = 3 THEN list_transform(v, lambda x: x::INTEGER) END AS verdicts FROM (
- SELECT conv_id, turn, regexp_extract_all('1, 0 and ' || (turn % 3), '\b[01]\b') AS v FROM conversations)""")
+ SELECT conv_id, turn, regexp_extract_all('1, 0 and ' || translate(text, '0123456789', '') || ' ' || (turn % 3), '\b[01]\b') AS v FROM conversations)""")
 def verdict_parse(spark, d):
-    said = F.concat(F.lit("1, 0 and "), (F.col("turn") % 3).cast("string"))
+    """Three verdicts in what was said: its text, which has no digits of its own, between two and a third that may be none."""
+    said = F.concat(F.lit("1, 0 and "), F.translate("text", "0123456789", ""), F.lit(" "), (F.col("turn") % 3).cast("string"))
     return table(spark, d, "conversations").select("conv_id", "turn", T.verdicts(said, F.lit(3)).alias("verdicts"))
 
 
-@query("""SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN [2, 0, 1, 3] WHEN 1 THEN [3, 0, 1, 2] ELSE [1, 0, 2, 3] END::INTEGER[] AS places FROM conversations""")
+@query("""SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN [2, 0, 1, 3] WHEN 1 THEN [3, 0, 1, 2] ELSE [1, 0, 2, 3] END::INTEGER[] AS places FROM conversations""")  # what is no number between commas is passed over
 def listwise_order_parse(spark, d):
     said = F.when(F.col("turn") % 3 == 0, "3, 1,x,3").when(F.col("turn") % 3 == 1, "4").otherwise("2,1,9")
+    said = F.concat(said, F.lit(","), F.translate("text", "0123456789", ""))
     return table(spark, d, "conversations").select("conv_id", "turn", T.listed_order(said, F.lit(4)).alias("places"))
 
 

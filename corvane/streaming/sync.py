@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..operators import versioning
 from ..session import shared_dir
+from ..tables import drop_path
 
 STATE = "collection_code string, source_key string, version long, source_hash string, valid_from long, superseded_at long, is_active boolean"
 
@@ -35,11 +37,11 @@ def sync_stream(arrivals: DataFrame, state_path: str, checkpoint: str, policy: s
         more = later.join(base, ["collection_code", "source_key"])
         more = more.select("collection_code", "source_key", (F.col("base") + F.col("step")).alias("version"), "source_hash", F.col("seq").alias("valid_from"), F.lit(None).cast("long").alias("superseded_at"), F.lit(True).alias("is_active"))
         both = merged.select(*more.columns).unionByName(more)
-        from pyspark.sql.window import Window
-
         after = F.lead("valid_from").over(Window.partitionBy("collection_code", "source_key").orderBy("version", "valid_from"))
         both = both.withColumn("superseded_at", F.coalesce("superseded_at", after)).withColumn("is_active", F.col("superseded_at").isNull())
         both.write.mode("overwrite").parquet(f"{state_path}/{number}")
+        if number > 1:  # the one before stays, in case this batch runs again
+            drop_path(spark, f"{state_path}/{number - 2}")
 
     return arrivals.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start()
 
