@@ -121,3 +121,19 @@ def quietly(model: Callable[[str], str], prompt: str) -> str | None:
         return model(prompt)
     except Exception:
         return None
+
+
+def captured(prompt: Column, model: Callable[[str], str]) -> Column:
+    """struct(said, error): the model's answer, or what went wrong; neither for a null prompt."""
+
+    @pandas_udf("said string, error string")
+    def run(p: pd.Series) -> pd.DataFrame:
+        rows = []
+        for x in p:
+            try:
+                rows.append((None if x is None else model(x), None))
+            except Exception as e:
+                rows.append((None, f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(rows, columns=["said", "error"])
+
+    return run(prompt)

@@ -129,6 +129,18 @@ def strip_nul(c: Column) -> Column:
     return F.translate(c, "\x00", "")
 
 
+def strip_nul_map(m: Column) -> tuple[Column, Column]:
+    """(a map without NUL characters in keys and values, how many there were)."""
+    clean = F.map_from_entries(F.transform(F.map_entries(m), lambda e: F.struct(strip_nul(e["key"]).alias("key"), strip_nul(e["value"]).alias("value"))))
+    nuls = lambda c: F.coalesce(F.length(c) - F.length(strip_nul(c)), F.lit(0))
+    return clean, F.aggregate(F.map_entries(m), F.lit(0), lambda a, e: a + nuls(e["key"]) + nuls(e["value"]))
+
+
+def clamped(c: Column, least: int, most: int) -> Column:
+    """A batch size as text, no less and no more than allowed; the least where it is no number."""
+    return F.least(F.greatest(F.coalesce(c.try_cast("int"), F.lit(least)), F.lit(least)), F.lit(most))
+
+
 def regex_int(c: Column, default: Column | None = None, signed: bool = True) -> Column:
     """The text as int where it is a whole number, else ``default``."""
     ok = F.regexp_like(F.coalesce(c, F.lit("")), F.lit("^-?[0-9]+$" if signed else "^[0-9]+$"))
@@ -137,7 +149,7 @@ def regex_int(c: Column, default: Column | None = None, signed: bool = True) ->
 
 def json_object_text(c: Column) -> Column:
     """The whole text if it is a JSON object, else its outermost ``{...}``, if that is one."""
-    is_object = lambda x: F.is_variant_null(F.try_variant_get(F.try_parse_json(x), "$", "variant")).isNotNull() & F.regexp_like(x, F.lit(r"(?s)^\s*\{.*\}\s*$"))
+    is_object = lambda x: F.try_parse_json(x).isNotNull() & F.regexp_like(x, F.lit(r"(?s)^\s*\{.*\}\s*$"))
     inner = F.regexp_extract(c, r"(?s)\{.*\}", 0)
     return F.when(is_object(c), F.trim(c)).when(is_object(inner), inner)
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import dataclasses
+import json
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import text as T
+
 #: Parts of the rubric.
 RUBRIC = ("relevance", "factuality", "cause_reflection", "actionability", "groundedness", "specificity", "evidence_alignment")
 
@@ -82,3 +87,40 @@ def validate_cases(cases: DataFrame) -> DataFrame:
         F.count_if(F.size(F.coalesce("truth", F.array().cast("array<string>"))) == 0).alias("n_no_truth"),
     )
     return x.withColumn("passed", (F.col("n_repeated") == 0) & (F.col("n_no_question") == 0))
+
+
+def business(answers: DataFrame) -> DataFrame:
+    """(case_id, business_grade, business_score, business_revision_notes) of judge answers in JSON: a score clamped to 1..5 (missing: 1)."""
+    parsed = answers.select("case_id", F.from_json("judged", "business struct<grade: string, score: double, revision_notes: string>").alias("j"))
+    text = lambda k: F.trim(F.coalesce(F.col(f"j.business.{k}"), F.lit(""))).alias(f"business_{k}")
+    score = F.coalesce(F.least(F.greatest(F.col("j.business.score"), F.lit(1.0)), F.lit(5.0)), F.lit(1.0))
+    return parsed.select("case_id", text("grade"), score.alias("business_score"), text("revision_notes"))
+
+
+def experiment(cases: DataFrame, retriever: Callable[[DataFrame], DataFrame], truth: DataFrame, model: Callable[[str], str], judge: Callable[[str], str], k: int = 3, eval_k: int = 5, limit: int | None = None) -> DataFrame:
+    """One row a case (case_id, question) with a question: what was found, ranking metrics, the answer, its rubric, and errors.
+
+    A model that fails on a case leaves its error in that row; the other cases go on. ``limit`` takes the first cases by id.
+    """
+    from ..functions import providers
+
+    asked = cases.filter(F.trim(F.coalesce("question", F.lit(""))) != "")
+    if limit:
+        asked = asked.orderBy("case_id").limit(limit)
+    asked = asked.select(F.col("case_id").alias("query_id"), F.col("question").alias("query"))
+    found = retriever(asked).filter(F.col("rank") < k)
+    listed = found.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc_id", "content"))), lambda x: x).alias("_found"))
+    x = asked.join(listed, "query_id", "left").join(runtime_metrics(found, truth, asked, eval_k), "query_id")
+    retrieved = F.transform(F.coalesce("_found", F.array().cast("array<struct<rank:bigint,doc_id:bigint,content:string>>")), lambda r: r["doc_id"])
+    x = x.withColumn("retrieved", retrieved).withColumn("_a", providers.captured(F.concat_ws("\n\n", F.array_join(F.transform("_found", lambda r: r["content"]), "\n\n"), "query"), model))
+    x = x.withColumn("_j", providers.captured(F.when(F.col("_a.error").isNull(), F.concat_ws("\n\n", "query", "_a.said")), judge))
+    x = x.withColumns({"answer": F.coalesce("_a.said", F.lit("")), "judged": T.json_object_text(F.col("_j.said")), "error_message": F.coalesce("_a.error", "_j.error", F.lit(""))})
+    scored = rubric(x.filter("judged is not null").select(F.col("query_id").alias("case_id"), "judged"))
+    x = x.withColumnRenamed("query_id", "case_id").join(scored, "case_id", "left")
+    return x.select("case_id", F.col("query").alias("question"), "retrieved", "recall", "precision", "mrr", "answer", F.col("average").alias("generation_average"), F.col("score_100").alias("generation_score_100"), (F.col("error_message") == "").alias("success"), "error_message")
+
+
+def config_snapshot(spark: SparkSession, *parts) -> DataFrame:
+    """(name, value) of every setting of ``parts`` (dataclass instances), values as JSON."""
+    rows = [(f"{type(p).__name__}.{f.name}", json.dumps(getattr(p, f.name), ensure_ascii=False)) for p in parts for f in dataclasses.fields(p)]
+    return spark.createDataFrame(sorted(rows), "name string, value string")

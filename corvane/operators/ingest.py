@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +27,49 @@ def row_documents(df: DataFrame, columns: list[str], order: list[str], keep: lis
     return numbered(df, order).select("row", F.concat_ws("\n", *lines).alias("content"), F.map_filter(meta, lambda k, v: v.isNotNull()).alias("metadata")).filter(F.trim("content") != "")
 
 
+def source_columns(source: dict[str, str], config: dict[str, dict[str, list[str]]], default: list[str] | None, every: list[str]) -> list[str]:
+    """The columns that make a source's documents: by its collection and path, or label; else the default; else all."""
+    of = config.get((source.get("collection_code") or "").strip() or "DEFAULT") or {}
+    path = (source.get("relative_path") or source.get("label") or "").replace("\\", "/").strip()
+    for name in (path, (source.get("label") or "").strip()):
+        if name in of:
+            return [c for c in of[name] if c.strip()]
+    return list(default or every)
+
+
+def is_evaluation_source(source: dict[str, str], collection: str = "", filename: str = "") -> bool:
+    """Whether evaluation rows come from a source: any, unless a collection or a file is asked for."""
+    path = (source.get("relative_path") or source.get("label") or "").replace("\\", "/").strip()
+    right = not collection or ((source.get("collection_code") or "").strip() or "DEFAULT") == collection
+    return right and (not filename or filename in (path, (source.get("label") or "").strip()))
+
+
+def union_sources(parts: list[DataFrame]) -> DataFrame:
+    """All sources' rows; a column that one lacks is null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def evaluation_keys(*keys: DataFrame) -> DataFrame:
+    """(source_key) once each."""
+    return reduce(DataFrame.union, [k.select("source_key") for k in keys]).distinct()
+
+
+def same_rows(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two tables hold the same rows as often."""
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def split_cases(cases: DataFrame, collection: str) -> DataFrame:
+    """Evaluation cases as one collection asks them: its own question, else the case's."""
+    own = F.coalesce(F.nullif(F.try_element_at("questions", F.lit(collection)), F.lit("")), F.col("question"), F.lit(""))
+    return cases.withColumns({"collection_code": F.lit(collection), "question": F.trim(own)}).drop("questions")
+
+
+def block_kind(loader: Column, source: Column) -> Column:
+    """Whether a group is of page documents: by its loader or its name's ending."""
+    return F.coalesce(F.lower(loader) == "pdf", F.lit(False)) | F.coalesce(F.endswith(F.lower(F.trim(source)), F.lit(".pdf")), F.lit(False))
+
+
 def render_template(template: str, columns: list[str]) -> Column:
     """``{{column}}`` replaced by its value, empty where that stands for a missing one; spaces then become single."""
     out: Column = F.lit(template)
@@ -122,33 +168,30 @@ def html_blocks(pages: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ page geometry
 
 def figure_regions(rects: DataFrame, gap: float = 28, overlap: float = 0.18, pad: float = 8) -> DataFrame:
-    """(page_id, x0, y0, x1, y1) of figures: image rectangles of a page that touch or nearly do are one, then small, thin or page-filling ones go.
+    """(page_id, x0, y0, x1, y1) of figures: image rectangles of a page, cut to it, that touch or nearly do are one.
 
-    A page's images are few; pages are the groups.
+    Rectangles that agree to a tenth of a point count once. A figure is the hull of its rectangles; those that fill the
+    page, as scans do, and small or thin ones go. A page's images are few; pages are the groups.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        boxes = [list(map(float, r)) for r in rows[["x0", "y0", "x1", "y1"]].to_numpy() if min(r[2] - r[0], r[3] - r[1]) > 2]
         width, height = float(rows["width"].iloc[0]), float(rows["height"].iloc[0])
-        boxes = [b for b in boxes if (b[2] - b[0]) * (b[3] - b[1]) < 0.88 * width * height]
-        merged = True
-        while merged:
-            merged = False
-            for i in range(len(boxes)):
-                for j in range(i + 1, len(boxes)):
-                    if _joined(boxes[i], boxes[j], gap, overlap):
-                        a, b = boxes[i], boxes.pop(j)
-                        boxes[i] = [min(a[0], b[0]), min(a[1], b[1]), max(a[2], b[2]), max(a[3], b[3])]
-                        merged = True
-                        break
-                if merged:
-                    break
+        cut = rows[["x0", "y0", "x1", "y1"]].astype(float).clip(lower=0)
+        cut[["x0", "x1"]], cut[["y0", "y1"]] = cut[["x0", "x1"]].clip(upper=width), cut[["y0", "y1"]].clip(upper=height)
+        cut = cut[((cut["x1"] - cut["x0"]) > 2) & ((cut["y1"] - cut["y0"]) > 2)]
+        boxes = cut[~cut.round(1).duplicated()].to_numpy().tolist()
+        label = list(range(len(boxes)))
+        for i, j in itertools.combinations(range(len(boxes)), 2):
+            if label[i] != label[j] and _joined(boxes[i], boxes[j], gap, overlap):
+                label = [label[i] if x == label[j] else x for x in label]
         out = []
-        for x0, y0, x1, y1 in boxes:
+        for c in set(label):
+            own = [b for b, x in zip(boxes, label, strict=True) if x == c]
+            x0, y0, x1, y1 = *(min(b[k] for b in own) for k in (0, 1)), *(max(b[k] for b in own) for k in (2, 3))
             w, h = x1 - x0, y1 - y0
-            if w < 34 or h < 34 or w * h < 0.0015 * width * height or max(w / h, h / w) > 12:
-                continue
-            out.append((max(0.0, x0 - pad), max(0.0, y0 - pad), min(width, x1 + pad), min(height, y1 + pad)))
+            share = w * h / max(1.0, width * height)
+            if 0.0015 <= share < 0.88 and min(w, h) >= 34 and max(w / h, h / w) <= 12:
+                out.append((max(0.0, x0 - pad), max(0.0, y0 - pad), min(width, x1 + pad), min(height, y1 + pad)))
         out = pd.DataFrame(sorted(out, key=lambda r: (r[1], r[0])), columns=["x0", "y0", "x1", "y1"])
         out.insert(0, "page_id", rows["page_id"].iloc[0])
         return out
@@ -157,20 +200,18 @@ def figure_regions(rects: DataFrame, gap: float = 28, overlap: float = 0.18, pad
 
 
 def _joined(a: list[float], b: list[float], gap: float, overlap: float) -> bool:
-    """Overlapping, or apart by at most ``gap`` on one axis and overlapping by a share of the smaller side on the other."""
-    across = [min(a[k + 2], b[k + 2]) - max(a[k], b[k]) for k in (0, 1)]
-    if min(across) >= 0:
+    """Touching, or apart by at most ``gap`` on one axis while they share at least ``overlap`` of the smaller side on the other."""
+    shared = [min(a[k + 2], b[k + 2]) - max(a[k], b[k]) for k in (0, 1)]
+    if min(shared) >= 0:
         return True
-    for k in (0, 1):
-        smaller = min(a[k + 2] - a[k], b[k + 2] - b[k])
-        if across[k] > 0 and across[k] >= overlap * smaller and -across[1 - k] <= gap:
-            return True
-    return False
+    enough = [max(0.0, shared[k]) >= overlap * min(a[k + 2] - a[k], b[k + 2] - b[k]) for k in (0, 1)]
+    return any(-shared[1 - k] <= gap and enough[k] for k in (0, 1))
 
 
 def nearest_caption(figures: DataFrame, blocks: DataFrame, most: float = 120, longest: int = 300) -> DataFrame:
     """(page_id, figure_id, caption): a short text block over or under a figure, below before above, then the nearest, then the shortest."""
-    b = blocks.filter(F.length("content") <= longest).select(F.col("page_id").alias("b_page"), F.col("x0").alias("bx0"), F.col("y0").alias("by0"), F.col("x1").alias("bx1"), F.col("y1").alias("by1"), "content")
+    flat = blocks.withColumn("content", F.trim(F.regexp_replace("content", r"\s+", " ")))
+    b = flat.filter((F.col("content") != "") & (F.length("content") <= longest)).select(F.col("page_id").alias("b_page"), F.col("x0").alias("bx0"), F.col("y0").alias("by0"), F.col("x1").alias("bx1"), F.col("y1").alias("by1"), "content")
     both = figures.join(b, (F.col("page_id") == F.col("b_page")) & (F.least("x1", "bx1") > F.greatest("x0", "bx0")))
     side = F.when(F.col("by0") >= F.col("y1"), 0).when(F.col("by1") <= F.col("y0"), 1).otherwise(2)
     away = F.when(side == 0, F.col("by0") - F.col("y1")).when(side == 1, F.col("y0") - F.col("by1")).otherwise(0.0)

@@ -6,11 +6,13 @@ A source's versions are decided from its own arrivals alone, so everything is pa
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import blank_to_null, stable_json
+from ..functions.text import blank_to_null, regex_int, stable_json
 
 KEY = ["collection_code", "source_key"]
 
@@ -117,3 +119,106 @@ def consistency(versions: DataFrame, documents: DataFrame) -> DataFrame:
     v = versions.groupBy("collection_code").agg(F.count_if("is_active").alias("n_active"))
     d = documents.groupBy("collection_code").agg(F.count("*").alias("n_documents"))
     return v.join(d, "collection_code", "full_outer").select("collection_code", F.coalesce("n_active", F.lit(0)).alias("n_active"), F.coalesce("n_documents", F.lit(0)).alias("n_documents"), F.col("n_active").eqNullSafe(F.col("n_documents")).alias("agree"))
+
+
+def group_source_hash(docs: DataFrame, files: DataFrame) -> DataFrame:
+    """(source_key, source_hash) of sources whose pieces are ``docs`` (source_key, loader, row, item, place, content, metadata).
+
+    A source that is a file in ``files`` (source_key, file_hash, config) hashes the file and the chunk configuration;
+    rows of tables, items of lists and sources without a file hash their pieces, in order, each by its content and
+    business metadata. Only hashes are gathered by source, never texts.
+    """
+    single = F.col("loader").isin("csv", "openpyxl") & F.col("row").isNotNull() | (F.col("loader") == "json") & F.col("item").isNotNull()
+    piece = F.struct("place", chunk_hash(F.col("content"), F.col("metadata")).alias("h"))
+    made = docs.withColumn("_single", F.coalesce(single, F.lit(False))).groupBy("source_key").agg(F.bool_or("_single").alias("single"), F.array_sort(F.collect_list(piece)).alias("pieces"))
+    by_file = F.when(~F.col("single"), F.sha2(F.concat_ws("|", "file_hash", "config"), 256))
+    joined = made.join(files.select("source_key", "file_hash", "config"), "source_key", "left")
+    by_piece = F.sha2(F.array_join(F.transform("pieces", lambda x: x["h"]), ""), 256)
+    return joined.select("source_key", F.when(F.col("file_hash").isNotNull(), F.coalesce(by_file, by_piece)).otherwise(by_piece).alias("source_hash"))
+
+
+def end_chunks(chunks: DataFrame, versions: DataFrame) -> DataFrame:
+    """``chunks`` with is_active false where their source version is no longer active."""
+    ended = versions.filter(~F.col("is_active")).select("source_versions_id", F.lit(True).alias("_ended")).distinct()
+    return chunks.join(ended, "source_versions_id", "left").withColumn("is_active", F.col("is_active") & F.col("_ended").isNull()).drop("_ended")
+
+
+def rebuild(state: DataFrame, collections: DataFrame, at: Column) -> DataFrame:
+    """The state before a forced rebuild: all active versions of ``collections`` (collection_code) end."""
+    hit = state.join(F.broadcast(collections.select("collection_code").distinct().withColumn("_hit", F.lit(True))), "collection_code", "left")
+    ends = F.coalesce("_hit", F.lit(False)) & F.col("is_active")
+    return hit.withColumn("superseded_at", F.when(ends, F.coalesce("superseded_at", at)).otherwise(F.col("superseded_at"))).withColumn("is_active", F.col("is_active") & ~ends).select(*state.columns)
+
+
+def with_ids(versions: DataFrame, order: list[str], start: Column | int = 1) -> DataFrame:
+    """New versions with ids that follow ``start``, in ``order``, without a single task."""
+    from .sizes import numbered
+
+    return numbered(versions, order, "source_versions_id", 0).withColumn("source_versions_id", F.col("source_versions_id") + start)
+
+
+#: What one document is known by in the common table.
+DOCUMENT = ["collections_id", "source_key", "source_hash", "document_version"]
+#: What a sync writes of it.
+FIELDS = ["source_versions_id", "source_type", "source_name", "source_path", "source_record_no", "title", "is_evaluation", "metadata"]
+
+
+def common_documents(versions: DataFrame, collections: DataFrame, marked: DataFrame, namespace: str = "default") -> DataFrame:
+    """The rows that source versions have in the common document table, from their ``metadata`` map; ``marked`` (source_key) are evaluation rows."""
+    s = versions.join(F.broadcast(collections.select("collection_code", "collections_id")), "collection_code")
+    s = s.join(marked.select("source_key", F.lit(True).alias("_marked")).distinct(), "source_key", "left")
+    has = lambda k: blank_to_null(F.try_element_at("metadata", F.lit(k)))
+    own = F.create_map(*[x for k, c in (("source_key", "source_key"), ("source_versions_id", "source_versions_id"), ("collection_code", "collection_code")) for x in (F.lit(k), F.col(c).cast("string"))], F.lit("namespace"), F.lit(namespace))
+    kept = F.map_filter("metadata", lambda k, v: ~F.array_contains(F.map_keys(own), k))
+    return s.select(
+        *DOCUMENT, "is_active", "source_versions_id", F.upper(F.coalesce(has("loader"), has("source_type"), F.lit("FILE"))).alias("source_type"), "source_name",
+        F.coalesce(has("relative_path"), has("source"), F.lit("")).alias("source_path"), regex_int(F.try_element_at("metadata", F.lit("row"))).alias("source_record_no"),
+        F.coalesce(has("title"), F.col("source_name")).alias("title"), F.coalesce("_marked", F.lit(False)).alias("is_evaluation"), stable_json(F.map_concat(kept, own)).alias("metadata"),
+    )
+
+
+def sync_documents(documents: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The common table after a sync, with ``action``: ended, updated, inserted or kept.
+
+    An active document ends where its source has another active version; then documents that ``incoming`` has too take
+    its fields and state, and those that are missing are added. Hashes compare null-safe.
+    """
+    key = ["collections_id", "source_key"]
+    active = incoming.filter("is_active")
+    versions = active.groupBy(*key).agg(F.count("*").alias("_all"))
+    same = active.groupBy(*[F.col(c).alias(f"_{c}") for c in DOCUMENT]).agg(F.count("*").alias("_same"))
+    matches = lambda other: reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"{other}{c}")) for c in DOCUMENT])
+    old = documents.join(versions, key, "left").join(same, matches("_"), "left")
+    ends = F.col("is_active") & (F.coalesce("_all", F.lit(0)) > F.coalesce("_same", F.lit(0)))
+    old = old.withColumn("_ends", F.coalesce(ends, F.lit(False))).select(*DOCUMENT, "is_active", *FIELDS, "_ends")
+    new = incoming.select(*[F.col(c).alias(f"n_{c}") for c in [*DOCUMENT, "is_active", *FIELDS]], F.lit(True).alias("_new"))
+    both = old.withColumn("_old", F.lit(True)).join(new, matches("n_"), "full_outer")
+    pick = lambda c: F.when(F.col("_new"), F.col(f"n_{c}")).otherwise(F.col(c)).alias(c)
+    state = F.when(F.col("_new"), F.col("n_is_active")).otherwise(F.col("is_active") & ~F.col("_ends")).alias("is_active")
+    action = F.when(F.col("_old").isNull(), "inserted").when(F.col("_new"), "updated").when(F.col("_ends"), "ended").otherwise("kept")
+    return both.select(*[pick(c) for c in DOCUMENT], state, *[pick(c) for c in FIELDS], action.alias("action"))
+
+
+def sync_chunks(existing: DataFrame, chunks: DataFrame, documents: DataFrame) -> DataFrame:
+    """The chunks to add to the common table: those of known documents that repeat no hash and no place, there or among themselves.
+
+    A document is found by the version id in its JSON metadata; of new chunks with one hash the first by document and
+    place is added.
+    """
+    owner = documents.select("documents_id", F.get_json_object("metadata", "$.source_versions_id").alias("_version"))
+    has = lambda k: F.try_element_at("metadata", F.lit(k))
+    new = chunk_numbers(chunks).join(owner, F.col("source_versions_id").cast("string") == F.col("_version"))
+    new = new.select(
+        "documents_id", "chunk_index", "chunk_hash", F.col("content").alias("chunk_text"), regex_int(has("page_number")).alias("page_number"), has("block_type").alias("block_type"),
+        F.coalesce(blank_to_null(has("chunk_strategy")), F.lit("recursive")).alias("chunk_strategy"), regex_int(has("chunk_size"), F.lit(800), signed=False).alias("chunk_size"), regex_int(has("chunk_overlap"), F.lit(150), signed=False).alias("chunk_overlap"),
+    )
+    new = new.join(existing.select("documents_id", "chunk_index"), ["documents_id", "chunk_index"], "left_anti").join(existing.select("chunk_hash"), "chunk_hash", "left_anti")
+    first = F.row_number().over(Window.partitionBy("chunk_hash").orderBy("documents_id", "chunk_index"))
+    return new.withColumn("_nth", first).filter("_nth = 1").drop("_nth")
+
+
+def to_sync(versions: DataFrame, documents: DataFrame, chunks: DataFrame, common_chunks: DataFrame) -> DataFrame:
+    """One row: source versions without a document, chunks without a common one, and whether a sync can be left out."""
+    d = missing(versions.select("source_versions_id"), documents, ["source_versions_id"]).agg(F.count("*").alias("n_documents"))
+    c = missing(chunks.select("chunk_hash").distinct(), common_chunks, ["chunk_hash"]).agg(F.count("*").alias("n_chunks"))
+    return d.join(F.broadcast(c)).withColumn("nothing_to_do", (F.col("n_documents") == 0) & (F.col("n_chunks") == 0))

@@ -1,6 +1,6 @@
 """Composed plans and the registered queries."""
 
-from . import composed, queries
+from . import composed, queries, upkeep
 
 QUERIES, ORACLES = queries.QUERIES, queries.ORACLES
-assert composed
+__all__ = ["ORACLES", "QUERIES", "composed", "queries", "upkeep"]

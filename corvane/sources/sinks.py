@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,11 +24,43 @@ def write_checked(df: DataFrame, path: str, kind: str = "json") -> int:
     return there
 
 
-def write_questions(cases: DataFrame, path: str) -> int:
-    """One folder a collection, its name safe for files."""
-    out = cases.withColumn("code", file_code(F.col("collection_code")))
-    out.write.mode("overwrite").partitionBy("code").json(path)
-    return out.count()
+def write_question_sets(cases: DataFrame, collections: list[str], path: str) -> dict:
+    """A folder of cases a collection, and a manifest of them; each is read back and counted.
+
+    cases (source, source_sheet, source_row, question, questions); collections are those of the configuration, a few.
+    """
+    from ..operators.ingest import same_rows, split_cases
+
+    spark, n, sets = cases.sparkSession, cases.count(), {}
+    for code in collections:
+        name = spark.range(1).select(file_code(F.lit(code)).alias("c")).first()["c"]
+        own = split_cases(cases, code)
+        sets[code] = {"folder": f"{name}_evaluation_set_{n}", "count": write_checked(own, f"{path}/{name}_evaluation_set_{n}")}
+    manifest = spark.createDataFrame([(c, x["folder"], x["count"]) for c, x in sets.items()], "collection_code string, folder string, count long")
+    manifest.write.mode("overwrite").json(f"{path}/manifest")
+    if not same_rows(manifest, spark.read.schema(manifest.schema).json(f"{path}/manifest")):
+        raise RuntimeError(f"the manifest at {path} can't be read back")
+    return sets
+
+
+def read_question_sets(spark: SparkSession, path: str) -> DataFrame:
+    """(source, source_sheet, source_row, questions) of the sets that the manifest at ``path`` names: a case's questions by collection."""
+    sets = spark.read.schema("collection_code string, folder string, count long").json(f"{path}/manifest").collect()
+    schema = "source string, source_sheet string, source_row long, collection_code string, question string"
+    cases = spark.read.schema(schema).json([f"{path}/{r.folder}" for r in sets])
+    by_collection = F.map_from_entries(F.array_sort(F.collect_set(F.struct("collection_code", "question"))))
+    return cases.groupBy("source", "source_sheet", "source_row").agg(by_collection.alias("questions"))
+
+
+def manifest_signature(settings: dict) -> str:
+    """SHA-256 of settings as JSON with sorted keys."""
+    return hashlib.sha256(json.dumps(settings, ensure_ascii=False, sort_keys=True, default=str).encode()).hexdigest()
+
+
+def check_manifest(saved: dict | None, now: dict, force: bool = False) -> None:
+    """An error where an index was built with other settings, unless it is to be built anew."""
+    if saved and not force and manifest_signature(saved) != manifest_signature(now):
+        raise RuntimeError("the index was built with other chunking or embedding settings; force a rebuild to use these")
 
 
 def asset_manifest(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.window import Window
 
 from ..operators import versioning
@@ -46,6 +47,43 @@ def sync_stream(arrivals: DataFrame, state_path: str, checkpoint: str, policy: s
     return arrivals.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start()
 
 
+def chat_log(turns: DataFrame, path: str, checkpoint: str):
+    """Append a stream of (conv_id, turn, role, text) to a table; a turn that comes again changes nothing."""
+
+    def append(batch: DataFrame, number: int) -> None:
+        fresh = batch.dropDuplicates(["conv_id", "turn"])
+        if number:
+            there = batch.sparkSession.read.schema(batch.schema).option("recursiveFileLookup", "true").parquet(*[f"{path}/{k}" for k in range(number)])
+            fresh = fresh.join(there, ["conv_id", "turn"], "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{path}/{number}")
+
+    return turns.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(append).start()
+
+
+class Progress(StreamingQueryListener):
+    """Rows and seconds of every batch of the streams of a session, and the mean rate so far."""
+
+    def __init__(self):
+        self.batches: list[tuple[int, int, float]] = []
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.batches.append((p.batchId, p.numInputRows, p.batchDuration / 1000))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def rate(self) -> float:
+        seconds = sum(s for _, _, s in self.batches)
+        return sum(n for _, n, _ in self.batches) / seconds if seconds else 0.0
+
+
 def newest_state(spark: SparkSession, state_path: str) -> DataFrame:
     """The state after the last batch."""
     jvm = spark._jvm

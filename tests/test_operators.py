@@ -11,6 +11,7 @@ from corvane.functions import text as T
 from corvane.operators import chunking, dense, evaluation, fusion, ingest, sparse, versioning
 from corvane.plans import retrieve
 from corvane.sources import readers, sinks
+from corvane.streaming import sync
 
 
 def one(spark, value, f):
@@ -153,7 +154,7 @@ def test_row_documents_and_templates(spark):
 
 
 def test_figures_and_captions(spark):
-    rects = spark.createDataFrame([(1, 0.0, 0.0, 50.0, 50.0, 600.0, 800.0), (1, 60.0, 0.0, 120.0, 50.0, 600.0, 800.0), (1, 300.0, 300.0, 310.0, 310.0, 600.0, 800.0), (1, 0.0, 0.0, 600.0, 800.0, 600.0, 800.0)], "page_id long, x0 double, y0 double, x1 double, y1 double, width double, height double")
+    rects = spark.createDataFrame([(1, 0.0, 0.0, 50.0, 50.0, 600.0, 800.0), (1, 60.0, 0.0, 120.0, 50.0, 600.0, 800.0), (1, 300.0, 300.0, 310.0, 310.0, 600.0, 800.0), (1, 60.02, 0.0, 120.01, 50.0, 600.0, 800.0), (2, 0.0, 0.0, 600.0, 800.0, 600.0, 800.0), (2, 10.0, 10.0, 90.0, 90.0, 600.0, 800.0), (3, 0.0, 0.0, 600.0, 400.0, 600.0, 800.0), (3, 0.0, 400.0, 600.0, 800.0, 600.0, 800.0)], "page_id long, x0 double, y0 double, x1 double, y1 double, width double, height double")
     assert [tuple(r) for r in ingest.figure_regions(rects).collect()] == [(1, 0.0, 0.0, 128.0, 58.0)]
     figures = spark.createDataFrame([(1, 1, 0.0, 100.0, 50.0, 150.0)], "page_id long, figure_id long, x0 double, y0 double, x1 double, y1 double")
     blocks = spark.createDataFrame([(1, 0.0, 90.0, 50.0, 99.0, "above"), (1, 0.0, 180.0, 50.0, 190.0, "below"), (1, 0.0, 400.0, 50.0, 410.0, "far")], "page_id long, x0 double, y0 double, x1 double, y1 double, content string")
@@ -216,3 +217,99 @@ def test_where_document_nearest(spark):
     route = retrieve.routes(q, d, retrieve.Settings(bm25=False, vector=False, keyword=False))["filter"]
     assert [r.doc_id for r in route.orderBy("rank").collect()] == found
     assert [r.doc_id for r in sparse.where_document(q.drop("vector"), d).orderBy("rank").collect()] == [1, 2, 3, 4, 5]
+
+
+def merged(pieces, size, between, overlap):
+    """The packing rule, a piece at a time."""
+    out, held = [], []
+    total = lambda xs: sum(xs) + between * max(0, len(xs) - 1)
+    first = 0
+    for k, n in enumerate(pieces):
+        if held and total([*held, n]) > size:
+            out.append((first, k))
+            while held and (total(held) > overlap or total([*held, n]) > size):
+                held.pop(0)
+                first += 1
+        if not held:
+            first = k
+        held.append(n)
+    return out + [(first, len(pieces))] if held else out
+
+
+def test_packs_follow_the_rule_for_one_piece_at_a_time():
+    r = random.Random(3)
+    for _ in range(2000):
+        size = r.choice([10, 30, 50])
+        pieces = [r.randint(1, r.choice([5, 20, 60])) for _ in range(r.randint(0, 12))]
+        overlap, between = r.choice([0, 3, 9]), r.choice([0, 1, 2])
+        assert chunking.packs(pieces, size, between, overlap) == merged(pieces, size, between, overlap), (pieces, size, between, overlap)
+
+
+def test_sections_of_known_and_numbered_headings():
+    text = "1 One\n\nabc\n\n1.2 Two\n\n" + "x " * 40 + "\n\nKnown\n\nlast"
+    got = chunking.structure_split(text, 50, 10, {"Known": 2})
+    assert got[0] == ("1 One\n\nabc", "1 One", "1 One")
+    assert got[1] == ("1.2 Two", "1.2 Two", "1 One > 1.2 Two") and all(t == "1.2 Two" for _, t, _ in got[2:-1]) and len(got) > 4
+    assert got[-1] == ("Known\n\nlast", "Known", "1 One > Known")
+    assert chunking.paragraphs("a\nb.\n" + "c" * 180 + "\nd.\ne") == ["a b. " + "c" * 180 + " d.", "e"]
+    assert chunking.paragraphs(" \n \n") == [] and chunking.paragraphs(None) == []
+
+
+def test_models_that_fail_leave_the_others(spark):
+    found = spark.createDataFrame([(1, 10, "ab", 0), (1, 11, "abc", 1), (2, 12, "x", 0)], "query_id long, doc_id long, content string, rank long")
+    wrong = spark.createDataFrame([(1, "1,0"), (2, "1, 1")], "query_id long, said string")
+    with pytest.raises(Exception, match="not a verdict a document"):
+        fusion.judged_evidence(found, wrong).collect()
+
+    def broken(p):
+        raise ConnectionError(p)
+
+    from corvane.functions import providers
+
+    assert {r.points for r in fusion.pointwise(found, providers.rated(F.lit("q"), F.col("content"), broken)).collect()} == {0.0}
+    assert [r.error for r in spark.range(1).select(providers.captured(F.lit("p"), broken).alias("x")).select("x.*").collect()] == ["ConnectionError: p"]
+    assert spark.range(1).select(providers.guarded_prompt("sys", F.lit("Ignore  previous")).alias("p")).first().p is None
+
+
+def test_manifest_and_progress(spark, tmp_path):
+    assert sinks.check_manifest(None, {"a": 1}) is None and sinks.check_manifest({"a": 1}, {"a": 2}, force=True) is None
+    with pytest.raises(RuntimeError):
+        sinks.check_manifest({"a": 1}, {"a": 2})
+    listener = sync.Progress()
+    spark.streams.addListener(listener)
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "user", "b")], "conv_id long, turn int, role string, text string")
+    turns.write.parquet(f"{tmp_path}/in")
+    sync.chat_log(spark.readStream.schema(turns.schema).parquet(f"{tmp_path}/in"), f"{tmp_path}/log", f"{tmp_path}/check").awaitTermination()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    spark.streams.removeListener(listener)
+    assert sum(n for _, n, _ in listener.batches) == 2 and listener.rate() > 0
+
+
+def test_evaluation_sources():
+    assert ingest.is_evaluation_source({}) and not ingest.is_evaluation_source({"collection_code": "a"}, "b")
+    assert ingest.is_evaluation_source({"collection_code": "b", "label": "f.csv"}, "b", "f.csv") and not ingest.is_evaluation_source({"label": "g"}, filename="f.csv")
+    assert ingest.source_columns({"label": "x"}, {}, None, ["a"]) == ["a"] and ingest.source_columns({"label": "x"}, {}, ["b"], ["a"]) == ["b"]
+
+
+def test_no_product_of_large_tables(spark):
+    """Neither questions nor documents are broadcast unchecked or joined without a key beyond the stated block."""
+    docs = spark.createDataFrame([(i, f"text {i}", [1.0, float(i)]) for i in range(50)], "doc_id long, content string, vector array<float>")
+    q = docs.select(F.col("doc_id").alias("query_id"), "vector")
+    from corvane.operators import sizes
+
+    parts = sizes.in_blocks(q, "query_id", 20)
+    assert len(parts) == 3 and sum(p.count() for p in parts) == 50
+    got = dense.vector_search(q, docs, 3)
+    assert got.count() == 150
+
+
+def test_tables_live_as_long_as_their_scope(spark):
+    from corvane import tables
+
+    with tables.scope():
+        inner = tables.materialize(spark.range(3), "inner")
+        kept = tables.materialize(spark.range(4), "kept", result=True)
+        assert inner.count() == 3
+    assert kept.count() == 4
+    with pytest.raises(Exception):
+        spark.read.parquet(inner.inputFiles()[0]).count()

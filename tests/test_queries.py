@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from corvane.plans import queries
+from corvane.plans import ORACLES, QUERIES, queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -23,12 +23,12 @@ def plain(v):
     return tuple(map(plain, v)) if isinstance(v, (list, tuple)) else v
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql, name):
-    df = queries.QUERIES[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     rows = sorted((tuple(plain(r[c]) for c in sorted(df.columns)) for r in df.collect()), key=repr)
-    if name in queries.ORACLES:
-        want = sql.sql(queries.ORACLES[name])
+    if name in ORACLES:
+        want = sql.sql(ORACLES[name])
         assert sorted(want.columns) == sorted(df.columns)
         at = [want.columns.index(c) for c in sorted(df.columns)]
         assert rows == sorted((tuple(plain(r[k]) for k in at) for r in want.fetchall()), key=repr)
