@@ -246,7 +246,7 @@ def test_packs_follow_the_rule_for_one_piece_at_a_time():
 
 
 def test_sections_of_known_and_numbered_headings():
-    text = "1 One\n\nabc\n\n1.2 Two\n\n" + "x " * 40 + "\n\nKnown\n\nlast"
+    text = "1 One\n\nabc\n\n1.2 Two\n\n" + "word " * 20 + "\n\nKnown\n\nlast"
     got = chunking.structure_split(text, 50, 10, {"Known": 2})
     assert got[0] == ("1 One\n\nabc", "1 One", "1 One")
     assert got[1] == ("1.2 Two", "1.2 Two", "1 One > 1.2 Two") and all(t == "1.2 Two" for _, t, _ in got[2:-1]) and len(got) > 4
