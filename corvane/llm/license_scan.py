@@ -1,11 +1,11 @@
 """License scan by a positional rare-token index.
 
-Templates are word sequences with a label. Document frequencies of their words are counted over all documents;
-the highest-IDF word of a template is its anchor. In a file, every place of an anchor word is looked up in the
-postings (template, position of the anchor in it), which gives the start the template would have there; the
-template's other words are intersected with the file's at their relative positions. A short phrase (a base
-phrase) must match whole. A longer template may miss some words, but its mandatory key phrases must stand word
-for word at their relative places.
+Templates are word sequences with a label. Document frequencies of their words are counted over all documents. In a
+file its licence words are taken rarest first: the places of a template's highest-IDF key word give the starts that the
+template may have there, and the places of each next key word are intersected with them at their relative position,
+until none is left or the whole mandatory key phrase stands. A short phrase (a base phrase) is its own key phrase. A
+longer template may miss some of its other words, which are then looked up at their relative places: those that stand
+there must hold ``LEAST_SHARE`` of the template's IDF.
 
 Defined results: null or empty text has 0 words, no places, null first_word and last_word, empty labels and score
 0. Repeated rows and null doc_ids are scanned as any other. Ties in IDF go to the earlier word of the template.
@@ -52,6 +52,15 @@ LONGER = (
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use in source and binary forms"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "copy modify and or distribute this software"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0", "except in compliance with the license"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "under the terms of the gnu general public license"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation", "under the terms of the gnu lesser general public license"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software", "deal in the software without restriction"),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "endorse or promote products derived from this software"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", "in no event will the authors be held liable"),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "any person or organization obtaining a copy"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", "eclipse public license"),
+    ("cc0", "to the extent possible under law the person who associated cc0 with this work has waived all copyright and related or neighboring rights to this work", "waived all copyright and related or neighboring rights"),
 )
 #: Share of a longer template's words that must stand at their relative places.
 LEAST_SHARE = 0.6
@@ -78,7 +87,7 @@ def templates(base=BASE, longer=LONGER) -> list[Template]:
 
 
 class Index:
-    """Vocabulary of the templates, and per template its anchor by document frequency."""
+    """Vocabulary of the templates, and per template its key words by document frequency."""
 
     def __init__(self, made: list[Template], df: dict[int, int] | None = None, n_docs: int = 0):
         self.templates = made
@@ -89,12 +98,8 @@ class Index:
         self.hashes = hashes[self.order]
         self.idf = np.array([math.log((1 + n_docs) / (1 + (df or {}).get(k, 0))) + 1 for k in range(len(words))])
         self.codes = [np.array([self.ids[w] for w in t.words], np.int16) for t in made]
-        # postings: anchor word -> (template, position of the anchor in it); only key words can anchor, as they must be there
-        self.postings: dict[int, list[tuple[int, int]]] = {}
-        for k, t in enumerate(made):
-            key = self.codes[k][t.key_at : t.key_at + t.key_len]
-            at = t.key_at + int(np.argmax(self.idf[key]))
-            self.postings.setdefault(int(self.codes[k][at]), []).append((k, at))
+        # postings: per template the positions of its key phrase, the rarest word first
+        self.postings = [t.key_at + np.argsort(-self.idf[c[t.key_at : t.key_at + t.key_len]], kind="stable") for t, c in zip(made, self.codes, strict=True)]
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         """Vocabulary id of each word, or -1."""
@@ -108,28 +113,27 @@ class Index:
         ids: of all words; first: first word of each document, and the end.
         """
         hits = np.flatnonzero(ids >= 0)
-        present = ids[hits]
-        for word, posts in self.postings.items():
-            places = hits[present == word]
-            if not len(places):
+        hits = hits[np.argsort(ids[hits], kind="stable")]
+        bounds = np.searchsorted(ids[hits], np.arange(len(self.ids) + 1))
+        for k, (t, codes) in enumerate(zip(self.templates, self.codes, strict=True)):
+            start = None
+            for j in self.postings[k]:
+                there = hits[bounds[codes[j]] : bounds[codes[j] + 1]] - j
+                start = there if start is None else start[np.isin(start, there, assume_unique=True)]
+                if not len(start):
+                    break
+            if start is None or not len(start):
                 continue
-            d = np.searchsorted(first, places, side="right") - 1
-            for k, at in posts:
-                t, codes = self.templates[k], self.codes[k]
-                start = places - at
-                got = np.zeros(len(places))
-                key = np.ones(len(places), bool)
-                for j, code in enumerate(codes):
-                    p = start + j
-                    inside = (p >= first[d]) & (p < first[d + 1])
-                    same = inside & (ids[np.clip(p, 0, len(ids) - 1)] == code)
-                    got += same * self.idf[code]
-                    if t.key_at <= j < t.key_at + t.key_len:
-                        key &= same
-                share = got / self.idf[codes].sum()
-                ok = key if t.base else key & (share >= LEAST_SHARE)
-                if ok.any():
-                    yield k, d[ok], start[ok], share[ok]
+            d = np.searchsorted(first, start + t.key_at, side="right") - 1
+            whole = start + t.key_at + t.key_len <= first[d + 1]
+            start, d = start[whole], d[whole]
+            p = start[:, None] + np.arange(len(codes))
+            inside = (p >= first[d][:, None]) & (p < first[d + 1][:, None])
+            same = inside & (ids[np.clip(p, 0, len(ids) - 1)] == codes)
+            share = same @ self.idf[codes] / self.idf[codes].sum()
+            ok = np.full(len(start), True) if t.base else share >= LEAST_SHARE
+            if ok.any():
+                yield k, d[ok], start[ok], share[ok]
 
 
 def _words(data: np.ndarray, off: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:

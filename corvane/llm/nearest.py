@@ -2,8 +2,9 @@
 
 Equal vectors are indexed once, with the smallest ids that hold them. Distinct vectors are dealt to shards by
 hash; each shard builds its graph as flat int32 neighbour arrays, one array a level, and stores it as one binary
-row. Query vectors are dealt to blocks; each (shard, block) pair searches by itself, and the shards' nearest are
-merged by a window per query vector.
+row of bounded size. A search task gets a shard's graph once and streams queries past it, batch after batch, so
+neither graphs nor memory multiply with the number of queries; a shard has as many tasks as keep the cluster busy.
+The shards' nearest are merged by a window per query vector.
 
 The largest inner product becomes the least Euclidean distance by one more component, sqrt(max norm ** 2 - norm
 ** 2), on indexed vectors and 0 on queries. Scores are inner products of the original vectors in double precision.
@@ -20,25 +21,27 @@ from __future__ import annotations
 
 import io
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import arrow_rows, materialize, partitions
 
 LINKS = 16
 EF_BUILD = 80
 EF_SEARCH = 160
-#: Rows from which there are more shards, up to MANY; beyond LARGEST rows a shard, their number grows again.
+#: Rows from which there are more shards, up to MANY; beyond, their number grows with the bytes that a shard may hold.
 SHARD_ROWS = 8192
 MANY = 64
-LARGEST = 1_000_000
-#: Queries that one task holds at once.
-BLOCK = 4096
+SHARD_BYTES = 128 << 20
+#: Bytes of a node besides its vector: links and levels.
+NODE_BYTES = 8 * LINKS + 64
+#: Queries that Python gets at once.
+QUERY_ROWS = 2048
 
 
 class Graph:
@@ -193,10 +196,12 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector
     n, widest = same.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
     if not n:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    shards = max(min(MANY, -(-n // SHARD_ROWS)), -(-n // LARGEST))
+    longest = same.agg(F.max("dim")).first()[0]
+    shards = max(min(MANY, -(-n // SHARD_ROWS)), -(-n * (12 * longest + NODE_BYTES) // SHARD_BYTES))
     queries = materialize(rows.filter(is_query(F.col("id"))).select("id", "v").distinct(), "queries")
     asked = queries.select(F.size("v").alias("dim"), "v").distinct()
-    blocks = max(1, -(-asked.count() // BLOCK))
+    # a shard's graph goes to several tasks only where there are fewer shards than tasks
+    splits = max(1, -(-partitions(df.sparkSession) // shards))
     place = F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")
 
     def index(key: tuple, table: pa.Table) -> pa.Table:
@@ -210,14 +215,23 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector
     made = same.select("dim", place.alias("shard"), "rep", "v").groupBy("dim", "shard").applyInArrow(index, "dim int, shard int, reps binary, exact binary, graph binary")
     made = materialize(made, "graphs")
 
-    def search(key: tuple, graphs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(graphs) or not len(asked):
-            return pd.DataFrame({"v": [], "rep": [], "score": []})
-        row = graphs.iloc[0]
-        g, rep = Graph.load(row["graph"]), np.frombuffer(row["reps"], np.int64)
-        q = np.stack(asked["v"].to_numpy()).astype(np.float64)
-        exact = np.frombuffer(row["exact"], np.float64).reshape(len(rep), -1)
-        out = []
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: tuple[int, int] | None = None
+        for batch in batches:
+            dims, of, kinds = (batch[c].to_numpy() for c in ("dim", "shard", "kind"))
+            cuts = np.flatnonzero((dims[1:] != dims[:-1]) | (of[1:] != of[:-1]) | (kinds[1:] != kinds[:-1])) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(of)], strict=True):
+                if a == b:
+                    continue
+                if kinds[a] == 0:
+                    g, rep = Graph.load(batch["graph"][a].as_py()), np.frombuffer(batch["reps"][a].as_py(), np.int64)
+                    exact = np.frombuffer(batch["exact"][a].as_py(), np.float64).reshape(len(rep), -1)
+                    at = (dims[a], of[a])
+                elif at == (dims[a], of[a]):  # else no vector of this length is in the shard
+                    q = batch["v"].slice(a, b - a).flatten().to_numpy(zero_copy_only=False).reshape(b - a, -1)
+                    yield from answered(g, rep, exact, q)
+
+    def answered(g: Graph, rep: np.ndarray, exact: np.ndarray, q: np.ndarray) -> Iterator[pa.RecordBatch]:
         step = max(16, min(512, (1 << 25) // len(rep)))
         for a in range(0, len(q), step):
             x = q[a : a + step]
@@ -227,13 +241,15 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector
             order = np.lexsort((rep[ids], -score), axis=1)[:, : k + 4]
             r, c = np.nonzero(np.take_along_axis(ids, order, 1) >= 0)
             at = order[r, c]
-            out.append(pd.DataFrame({"v": list(x[r]), "rep": rep[ids[r, at]], "score": score[r, at]}))
-        return pd.concat(out)
+            yield pa.record_batch({"v": pa.array(list(x[r]), pa.list_(pa.float64())), "rep": pa.array(rep[ids[r, at]], pa.int64()), "score": pa.array(score[r, at], pa.float64())})
 
-    block = F.pmod(F.xxhash64(F.lit(1), "v"), F.lit(blocks)).cast("int")
-    dealt = asked.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"), "v")
-    spread = made.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = spread.groupBy("dim", "shard", "block").cogroup(dealt.groupBy("dim", "shard", "block")).applyInPandas(search, "v array<double>, rep long, score double")
+    blob = F.lit(None).cast("binary")
+    split = F.pmod(F.xxhash64(F.lit(1), "v"), F.lit(splits)).cast("int")
+    graphs = made.select("dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))).alias("split"), F.lit(0).alias("kind"), "graph", "reps", "exact", F.lit(None).cast("array<double>").alias("v"))
+    dealt = asked.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), split.alias("split"), F.lit(1).alias("kind"), blob.alias("graph"), blob.alias("reps"), blob.alias("exact"), "v")
+    both = graphs.unionByName(dealt).repartition(max(partitions(df.sparkSession), shards * splits), "shard", "split").sortWithinPartitions("shard", "split", "dim", "kind")
+    with arrow_rows(df.sparkSession, QUERY_ROWS):
+        found = materialize(both.mapInArrow(search, "v array<double>, rep long, score double"), "near")
     merged = found.withColumn("nth", F.row_number().over(Window.partitionBy("v").orderBy(F.desc("score"), "rep"))).filter(F.col("nth") <= k + 4)
     merged = materialize(merged.select("v", "rep", "score"), "found")
     # ids that hold each found vector, then one ordered list a query vector

@@ -48,6 +48,46 @@ def test_license_scan_fuzzy_template(spark):
     assert got[1].labels == ""  # too few words at their relative places
 
 
+def test_license_scan_long_templates(spark):
+    """A long template is found where some of its words are missing or others, not where its key phrase is broken."""
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and its documentation files"
+    bsd = "Neither the name of ACME Inc nor the names of its contributors may be used to endorse or promote products derived from this software without any prior written permission."
+    texts = [mit, mit.replace("hereby", "here"), "x y " + bsd, bsd.replace("promote", "sell"), "a\n" * 50 + mit.upper() + " " + bsd, " ".join(bsd.split()[6:]), "to endorse or promote products derived from this software"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.base_labels) for r in license_scan.license_scan(docs).collect()}
+    assert got == {0: ("mit", ""), 1: ("", ""), 2: ("bsd-3-clause", ""), 3: ("", ""), 4: ("bsd-3-clause,mit", ""), 5: ("bsd-3-clause", ""), 6: ("", "")}
+
+
+def test_license_scan_against_every_place(spark):
+    """Labels and score against the templates compared at every place of random texts."""
+    made = license_scan.templates()
+    vocabulary = sorted({w for t in made for w in t.words})
+    r = random.Random(2)
+    texts = []
+    for _ in range(400):
+        words = []
+        for _ in range(r.randint(1, 4)):
+            t = list(r.choice(made).words)
+            for _ in range(r.randint(0, 4)):
+                t[r.randrange(len(t))] = r.choice(vocabulary)
+            words += t[r.randint(0, 2) :] + r.choices(vocabulary, k=r.randint(0, 3))
+        texts.append(" ".join(words))
+    df = Counter(w for t in texts for w in set(t.split()))
+    idf = {w: np.log((1 + len(texts)) / (1 + df[w])) + 1 for w in vocabulary}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: (x.labels, round(x.score, 6)) for x in license_scan.license_scan(docs).collect()}
+    for d, text in enumerate(texts):
+        words, labels, best = text.split(), set(), 0.0
+        for t in made:
+            for start in range(-len(t.words), len(words)):
+                same = [0 <= start + j < len(words) and words[start + j] == w for j, w in enumerate(t.words)]
+                share = sum(idf[w] for w, x in zip(t.words, same, strict=True) if x) / sum(idf[w] for w in t.words)
+                if all(same[t.key_at : t.key_at + t.key_len]) and (t.base or share >= license_scan.LEAST_SHARE):
+                    labels.add(t.label)
+                    best = max(best, share)
+        assert got[d] == (",".join(sorted(labels)), round(best, 6)), text
+
+
 def test_token_counts(odd_docs, small_docs, no_docs):
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     for docs in (odd_docs, small_docs):
