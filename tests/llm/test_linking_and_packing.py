@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import re
 import zlib
@@ -221,6 +222,47 @@ def test_mixing(spark, odd_docs, small_docs, no_docs):
     assert mixing.mix(no_docs).count() == 0
 
 
+def test_mixing_against_a_plain_plan(spark, odd_docs, small_docs):
+    """Targets by water-filling and what is taken, worked out in order of the hash."""
+    for docs in (small_docs, odd_docs):
+        h = docs.select("doc_id", "source", mixing._size().alias("size"), mixing._hash(8).alias("h")).collect()
+        sources = sorted({r.source for r in h}, key=lambda s: (s is None, s))
+        size = {s: sum(r["size"] for r in h if r.source == s) for s in sources}
+        weight = {s: mixing.WEIGHTS[k % 3] for k, s in enumerate(sources)}
+        target, free, left = {}, set(sources), float(sum(size.values()))
+        while True:
+            share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+            over = {s for s in free if share[s] > 3 * size[s]}
+            if not over:
+                target |= share
+                break
+            target |= {s: 3.0 * size[s] for s in over}
+            left -= sum(3 * size[s] for s in over)
+            free -= over
+        bits = max(1, min(24, (len(h) // mixing.BUCKET_ROWS).bit_length()))
+        want = []
+        for s in sources:
+            own = sorted((r for r in h if r.source == s), key=lambda r: r.h)
+            whole = min(3, int(target[s] // size[s])) if size[s] else 0
+            rest = 0 if whole == 3 else max(0, math.floor(target[s] + 0.5) - whole * size[s])
+            units = {}
+            for r in own:
+                units[r.h] = units.get(r.h, 0) + r["size"]
+            again, sofar = set(), 0
+            for x in sorted(units):
+                if sofar + units[x] > rest:
+                    # of the rest of this bucket the nearest to what is missing
+                    same = [y for y in sorted(units) if y >= x and y >> 64 - bits == x >> 64 - bits]
+                    near = min(same, key=lambda y: (abs(units[y] - rest + sofar), y))
+                    again |= {near} if abs(units[near] - rest + sofar) < rest - sofar else set()
+                    break
+                sofar += units[x]
+                again.add(x)
+            want += [(r.doc_id, r["size"], size[s], round(target[s], 6), r["size"] * (whole + (r.h in again))) for r in own]
+        got = [(r.doc_id, r["size"], r.source_size, round(r.target, 6), r.taken) for r in mixing.mix(docs).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_mixing_caps(spark):
     words = {"a": 1, "b": 100, "c": 100, "d": 10, "e": 500}
     docs = spark.createDataFrame([(i, "x " * n, s) for i, (s, n) in enumerate(words.items())], "doc_id long, text string, source string")

@@ -1,5 +1,6 @@
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -85,6 +86,50 @@ def test_language_id(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in language_id.language_id(blank).collect()} == {"und"}
 
 
+def buckets(text, bits):
+    """Hashed 1- to 3-grams of a text, worked out a gram at a time with plain numbers."""
+    x = []
+    for k, c in enumerate(f" {text.lower()} "):
+        if c.isalpha():
+            x.append(ord(c))
+        elif not k or x[-1] != 32:
+            x.append(32)
+    out = Counter()
+    for n in range(1, max(language_id.ORDERS) + 1):
+        if n in language_id.ORDERS:
+            for i in range(len(x) - n + 1):
+                h = 0
+                for j in range(n):
+                    # each step of the rolling hash adds its own number of characters so far
+                    h = (h * 0x100000001B3 + x[i + j] + j + 1) % 2**64
+                h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 % 2**64
+                out[h >> 64 - bits] += 1
+    return out
+
+
+def test_language_id_against_plain_naive_bayes(spark):
+    """Predictions and posteriors of a naive Bayes written out with dictionaries."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows, bits = docs.collect(), 10
+    counts, n = {}, Counter()
+    for r in rows:
+        if fold(r.doc_id) != 2 and r.text is not None and r.lang is not None:
+            counts.setdefault(r.lang, Counter()).update(buckets(r.text, bits))
+            n[r.lang] += 1
+    total = {k: sum(c.values()) + 0.5 * 2**bits for k, c in counts.items()}
+    got = {r.doc_id: r for r in language_id.language_id(docs, bits=bits).collect()}
+    for r in rows:
+        text = r.text or ""
+        if not any(c.isalpha() for c in text):
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        own = buckets(text, bits)
+        score = {k: math.log((n[k] + 1) / (sum(n.values()) + len(n))) + sum(m * math.log((c[b] + 0.5) / total[k]) for b, m in own.items()) for k, c in counts.items()}
+        best = max(score, key=score.get)
+        p = 1 / sum(math.exp(min(0.0, x - score[best])) for x in score.values())
+        assert got[r.doc_id].lang_pred == best and abs(got[r.doc_id].score - p) < 1e-3
+
+
 def test_grams_of_batches():
     """Documents scored together and alone have the same n-grams."""
     texts = ["Hello, world", "", "  ", "çé", "x", "a\x00b", "日本 語 𝒜"]
