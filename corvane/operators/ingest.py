@@ -7,7 +7,7 @@ import random
 
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -174,12 +174,14 @@ def figure_regions(rects: DataFrame, gap: float = 28, overlap: float = 0.18, pad
     page, as scans do, and small or thin ones go. A page's images are few; pages are the groups.
     """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        width, height = float(rows["width"].iloc[0]), float(rows["height"].iloc[0])
-        cut = rows[["x0", "y0", "x1", "y1"]].astype(float).clip(lower=0)
-        cut[["x0", "x1"]], cut[["y0", "y1"]] = cut[["x0", "x1"]].clip(upper=width), cut[["y0", "y1"]].clip(upper=height)
-        cut = cut[((cut["x1"] - cut["x0"]) > 2) & ((cut["y1"] - cut["y0"]) > 2)]
-        boxes = cut[~cut.round(1).duplicated()].to_numpy().tolist()
+    def run(page: pa.Table) -> pa.Table:
+        width, height = float(page["width"][0].as_py()), float(page["height"][0].as_py())
+        seen: dict[tuple, list[float]] = {}
+        for x0, y0, x1, y1 in zip(*(page[c].to_pylist() for c in ("x0", "y0", "x1", "y1")), strict=True):
+            box = [min(max(float(v), 0.0), most) for v, most in ((x0, width), (y0, height), (x1, width), (y1, height))]
+            if box[2] - box[0] > 2 and box[3] - box[1] > 2:
+                seen.setdefault(tuple(round(v, 1) for v in box), box)
+        boxes = list(seen.values())
         label = list(range(len(boxes)))
         for i, j in itertools.combinations(range(len(boxes)), 2):
             if label[i] != label[j] and _joined(boxes[i], boxes[j], gap, overlap):
@@ -192,11 +194,12 @@ def figure_regions(rects: DataFrame, gap: float = 28, overlap: float = 0.18, pad
             share = w * h / max(1.0, width * height)
             if 0.0015 <= share < 0.88 and min(w, h) >= 34 and max(w / h, h / w) <= 12:
                 out.append((max(0.0, x0 - pad), max(0.0, y0 - pad), min(width, x1 + pad), min(height, y1 + pad)))
-        out = pd.DataFrame(sorted(out, key=lambda r: (r[1], r[0])), columns=["x0", "y0", "x1", "y1"])
-        out.insert(0, "page_id", rows["page_id"].iloc[0])
-        return out
+        cols = list(zip(*sorted(out, key=lambda r: (r[1], r[0])), strict=True)) or [[], [], [], []]
+        ids = pa.array([page["page_id"][0].as_py()] * len(out), pa.int64())
+        return pa.table([ids, *(pa.array(c, pa.float64()) for c in cols)], names=["page_id", "x0", "y0", "x1", "y1"])
 
-    return rects.groupBy("page_id").applyInPandas(run, "page_id long, x0 double, y0 double, x1 double, y1 double")
+    spread = rects.repartition(int(rects.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_id")
+    return spread.groupBy("page_id").applyInArrow(run, "page_id long, x0 double, y0 double, x1 double, y1 double")
 
 
 def _joined(a: list[float], b: list[float], gap: float, overlap: float) -> bool:
