@@ -39,7 +39,7 @@ from .common import materialize
 CAPACITY = 2048
 END = 0
 #: Cached words per Python worker, and code points in them; beyond, the later half goes.
-CACHE, CACHE_CHARS = 400_000, 4_000_000
+CACHE, CACHE_CHARS = 600_000, 6_000_000
 #: A longer word, such as a line of a script without spaces, is encoded each time it comes.
 LONGEST = 64
 

@@ -25,7 +25,7 @@ from .common import text_buffers
 
 MARK = "▁"
 #: Cached segments per Python worker, and code points in them; beyond, the later half goes.
-CACHE, CACHE_CHARS = 400_000, 4_000_000
+CACHE, CACHE_CHARS = 700_000, 8_000_000
 #: Longer segments, such as lines of a script without spaces, are not cached.
 LONGEST = 64
 
@@ -83,18 +83,23 @@ class PieceCounter:
                 heapq.heappush(heap, m | h << 16)
         return count
 
-    def _missing(self, words: list[str], cache: dict[str, int], prefix: str) -> int:
-        """Caches the words that are not too long; the tokens of the others."""
-        if len(cache) > self.limit or self.chars > CACHE_CHARS:
-            for c in (self.after_space, self.bare):
-                for w in list(islice(c, len(c) // 2, None)):  # what came first is mostly what comes often
-                    del c[w]
+    def _make_room(self) -> None:
+        if len(self.after_space) + len(self.bare) > self.limit or self.chars > CACHE_CHARS:
+            for cache in (self.after_space, self.bare):
+                for w in list(islice(cache, len(cache) // 2, None)):  # what came first is mostly what comes often
+                    del cache[w]
             self.chars = sum(map(len, self.after_space)) + sum(map(len, self.bare))
-        long = [w for w in words if len(w) > LONGEST]
-        for w in {w for w in words if len(w) <= LONGEST}.difference(cache):
+
+    def _learn(self, words: list[str], cache: dict[str, int], prefix: str) -> int:
+        """Tokens of ``words``; those that are not too long are cached."""
+        new = set(words).difference(cache)
+        long = {w for w in new if len(w) > LONGEST}
+        for w in new - long:
             cache[w] = self.merged(prefix + w)
             self.chars += len(w)
-        return sum(self.merged(prefix + w) for w in long)
+        if not long:
+            return sum(map(cache.__getitem__, words))
+        return sum(self.merged(prefix + w) if w in long else cache[w] for w in words)
 
     def _odd_line(self, line: str) -> int:
         """A line, its first mark included, in which marks or spaces stand in runs."""
@@ -121,9 +126,8 @@ class PieceCounter:
         try:
             return total + sum(map(self.after_space.__getitem__, words)) + sum(map(self.bare.__getitem__, firsts))
         except KeyError:
-            total += self._missing(words, self.after_space, MARK) + self._missing(firsts, self.bare, "")
-            known = lambda ws, cache: sum(cache[w] if w in cache else self.merged(prefix + w) for w in ws if len(w) <= LONGEST for prefix in (MARK if cache is self.after_space else "",))
-            return total + known(words, self.after_space) + known(firsts, self.bare)
+            self._make_room()
+            return total + self._learn(words, self.after_space, MARK) + self._learn(firsts, self.bare, "")
 
 
 @lru_cache(maxsize=1)
