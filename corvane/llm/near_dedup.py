@@ -42,6 +42,8 @@ DEPTH = 4
 BITMAP_BITS = 27
 #: Most members, and bytes of their sets, in a block of a region (a larger set is a block alone).
 BLOCK, BLOCK_BYTES = 256, 1 << 20
+#: Shingles whose sets get their signatures at once, about.
+SHINGLES = 1 << 17
 #: Shingles that two blocks are compared on at once.
 COLUMNS = 4096
 #: Rows with full sets or signature blocks, or with blocks of sets, that Python gets at once.
@@ -97,7 +99,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, s1, s2, sig = [], [], [], []
+            n, s1, s2, sig, held = [], [], [], [], 0
             pending: list[np.ndarray] = []
 
             def flush(sig=sig, pending=pending):
@@ -114,8 +116,10 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                     s1.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                     s2.append(int((mix(s) if len(s) else s).sum(dtype=np.uint64).view(np.int64)))
                     pending.append(s)
-                    if len(pending) >= 256:
+                    held += len(s)
+                    if len(pending) >= 256 or held >= SHINGLES:
                         flush()
+                        held = 0
             flush()
             yield pa.record_batch({"doc": batch["doc"], "n": pa.array(n, pa.int64()), "s1": pa.array(s1, pa.int64()), "s2": pa.array(s2, pa.int64()), "sig": pa.array(sig, pa.binary())})
 
