@@ -26,14 +26,15 @@ def numbered(df: DataFrame, order: list[Column | str], name: str = "row", start:
     """``df`` with global row numbers: range partitions, sorted, each numbered from the count of those before.
 
     The sorted rows are checkpointed, so that both passes see the same partitions; the driver gets one count a
-    partition.
+    partition and deals the starts out as a broadcast table of as many rows.
     """
-    set_checkpoints(df.sparkSession)
+    spark = df.sparkSession
+    set_checkpoints(spark)
     dealt = df.orderBy(*order).checkpoint()
     dealt = dealt.select("*", F.spark_partition_id().alias("_part"), (F.monotonically_increasing_id() % (1 << 33)).alias("_nth"))
     starts, total = [], start
     for r in dealt.groupBy("_part").count().orderBy("_part").collect():
-        starts += [F.lit(r["_part"]), F.lit(total)]
+        starts.append((r["_part"], total))
         total += r["count"]
-    first = F.try_element_at(F.create_map(*starts), F.col("_part")) if starts else F.lit(start)
-    return dealt.withColumn(name, (F.col("_nth") + first).cast("long")).drop("_part", "_nth")
+    first = spark.createDataFrame(starts, "_part int, _first long")
+    return dealt.join(F.broadcast(first), "_part").withColumn(name, (F.col("_nth") + F.col("_first")).cast("long")).drop("_part", "_nth", "_first")
