@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, license_scan, line_dedup, mixing, near_dedup, nearest, packing, quality_model, quality_rules, token_counts
+from . import chat_format, importance, language_id, license_scan, line_dedup, mixing, near_dedup, nearest, packing, quality_model, quality_rules, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    control = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(*control.columns)
+    return chat_format.digests(chat_format.chat_format(rows.unionByName(control)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -65,6 +76,8 @@ QUERIES = {
         op8_mixing,
         op9_quality_model,
         op10_quality_rules,
+        op11_importance,
+        op12_chat_format,
     )
 }
 
@@ -94,5 +107,68 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op11_importance": r"""
+WITH table_of AS (
+  SELECT list_transform(range(256), lambda c: list_reduce(range(8), lambda x, k:
+    CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, c)) AS crc
+),
+found AS (
+  SELECT true AS own, doc_id, text FROM documents UNION ALL SELECT false, item_id, text FROM benchmark
+),
+worded AS (
+  SELECT row_number() OVER () AS k, own, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM found
+),
+counted AS (
+  SELECT k, own, word, count(*) AS n FROM (SELECT k, own, unnest(words) AS word FROM worded) GROUP BY ALL
+),
+buckets AS (
+  SELECT word, xor(4294967295, list_reduce(
+           list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+           lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) % 10000 AS bucket
+  FROM (SELECT word, hex(word) AS h FROM (SELECT DISTINCT word FROM counted)), table_of
+),
+sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE own), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (WHERE NOT own), 0)::DOUBLE AS t
+  FROM counted JOIN buckets USING (word) GROUP BY bucket
+),
+gain AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (all_s + 10000)) / ((s + 1) * (all_t + 10000))))::BIGINT AS g
+  FROM sums, (SELECT sum(s) AS all_s, sum(t) AS all_t FROM sums)
+),
+weights AS (
+  SELECT k, sum(n * g)::BIGINT AS weight FROM counted JOIN buckets USING (word) JOIN gain USING (bucket) WHERE own GROUP BY k
+),
+scored AS (
+  SELECT k, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)::DOUBLE
+                                                    / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM worded LEFT JOIN weights USING (k) WHERE own
+),
+placed AS (
+  SELECT k, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (k)
+""",
+    "op12_chat_format": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+escaped AS (
+  SELECT *, length(regexp_replace(regexp_replace(replace(text, '\', '\\'), '<(/?s>)', '<\\\1', 'g'),
+                                  '\[(/?INST\]|/?SYS\]|ROLE\]|/?TEXT\])', '[\\\1', 'g')) AS n FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(n + CASE role WHEN 'assistant' THEN 5 WHEN 'user' THEN 15 WHEN 'system' THEN 13 ELSE 19 + length(role) END))::BIGINT AS formatted_chars,
+       false AS rewrites
+FROM escaped GROUP BY conv_id
 """,
 }
