@@ -1,6 +1,6 @@
 """Composed plans and the registered queries."""
 
-from . import composed, pages, queries, upkeep
+from . import composed, pages, queries, stored, upkeep
 
 QUERIES, ORACLES = queries.QUERIES, queries.ORACLES
-__all__ = ["ORACLES", "QUERIES", "composed", "pages", "queries", "upkeep"]
+__all__ = ["ORACLES", "QUERIES", "composed", "pages", "queries", "stored", "upkeep"]
