@@ -1,8 +1,10 @@
 """Quality rules with thresholds that follow the data (native: DataFrame functions only).
 
 Fixed rules reject very short texts and texts full of repeated 8-word windows. Every other rule gets its cutoff
-from mergeable KLL quantile sketches of each measure per language and source, over the rows that the fixed rules
-keep. A group's quantiles are drawn towards those of its language, and a language's towards those of all rows, as
+from mergeable quantile sketches of each measure per language and source, over the rows that the fixed rules keep. A
+sketch counts values in buckets that grow by a factor ``GAMMA`` and keeps each bucket's least value, so a quantile is
+off by less than a thousandth, and exact where a bucket holds one value. Counts and minima merge in any order: a rerun
+has the same cutoffs. A value takes one of some 25,000 buckets at most, whatever the input. A group's quantiles are drawn towards those of its language, and a language's towards those of all rows, as
 the group is small: by ``SHRINK`` rows' worth of the larger one. A row fails where a measure lies beyond
 
     high quantile + times * (high quantile - median) + allowance / median size,
@@ -16,11 +18,13 @@ their own; an empty table gives an empty table; ties don't matter (a row is judg
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import materialize, scope
 
@@ -47,7 +51,9 @@ LOW: dict[str, float] = {"word_length": 10.0}
 SIZES = ("n_lines", "n_words", "word_chars")
 #: Rows' worth of the larger group's quantiles in a smaller group's.
 SHRINK = 100
-SKETCH_K = 400
+#: Factor between the bounds of a sketch's buckets; the bucket of zero is below all others.
+GAMMA = 1.001
+ZERO = -(1 << 31)
 #: Threshold rows up to which they are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_ROWS = 20_000
 
@@ -126,24 +132,36 @@ def cutoffs(q: Callable[[str, float], Column]) -> dict[str, Column]:
     return out
 
 
+def sketches(rows: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """(t_lang, t_source, sketch, bucket, n, least) of the rows that pass the base rules; ``sketch`` is a place in sketched()."""
+    values = F.array(*[F.struct(F.lit(k).alias("sketch"), F.col(c).cast("double").alias("v")) for k, c in enumerate(sketched().values())])
+    flat = rows.filter(~F.col("base_failed")).select(F.col(lang).alias("t_lang"), F.col(source).alias("t_source"), F.explode(values).alias("x")).select("t_lang", "t_source", "x.*")
+    bucket = F.when(F.col("v") > 0, F.floor(F.log("v") / math.log(GAMMA))).otherwise(ZERO)
+    return flat.groupBy("t_lang", "t_source", "sketch", bucket.alias("bucket")).agg(F.count("*").alias("n"), F.min("v").alias("least"))
+
+
+def quantiles(made: DataFrame, prefix: str, *keys: str) -> DataFrame:
+    """One row a group of sketches: its rows as ``<prefix>n`` and every quantile that is asked for; none without rows."""
+    group = Window.partitionBy(*keys, "sketch")
+    upto = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = made.select(*keys, "sketch", "least", upto.alias("upto"), F.sum("n").over(group).alias("total"))
+    place = {k: i for i, k in enumerate(sketched())}
+    at = lambda k, q: F.min(F.when((F.col("sketch") == place[k]) & (F.col("upto") >= F.ceil(F.lit(q) * F.col("total"))), F.col("least")))
+    out = ranked.groupBy(*keys).agg(F.max("total").alias(f"{prefix}n"), *[at(k, q).alias(prefix + quantile_name(k, q)) for k, q in quantiles_asked()])
+    return out.filter(F.col(f"{prefix}n") > 0)
+
+
 def thresholds(rows: DataFrame, lang: str = "lang", source: str = "source", shrink: float = SHRINK) -> DataFrame:
     """One row per (lang, source): ``hi_<measure>`` and ``lo_<measure>``; groups none of whose rows pass the base rules have none.
 
-    Partial sketches are built on the map side, so a hot group moves one sketch per task.
+    Buckets are counted on the map side, so a hot group moves one row a bucket and task.
     """
-    good = rows.filter(~F.col("base_failed")).groupBy(F.col(lang).alias("t_lang"), F.col(source).alias("t_source"))
-    sketches = good.agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.col(c).cast("double"), SKETCH_K).alias(k) for k, c in sketched().items()])
-    sketches = materialize(sketches, "quality-sketches")
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(k, SKETCH_K).alias(k) for k in sketched()]]
-
-    def read(x: DataFrame, prefix: str, *keys: str) -> DataFrame:
-        at = [F.kll_sketch_get_quantile_double(k, F.lit(q)).alias(prefix + quantile_name(k, q)) for k, q in quantiles_asked()]
-        return x.select(*keys, F.col("n").alias(f"{prefix}n"), *at)
-
-    own = read(sketches, "s", "t_lang", "t_source")
-    by_lang = read(sketches.groupBy("t_lang").agg(*merged), "l", "t_lang").withColumnRenamed("t_lang", "_lang")
-    over = read(sketches.agg(*merged).filter("n > 0"), "a")  # one row
-    joined = own.join(by_lang, own["t_lang"].eqNullSafe(by_lang["_lang"]), "left").withColumn("_one", F.lit(1)).join(over.withColumn("_one", F.lit(1)), "_one", "left")
+    made = materialize(sketches(rows, lang, source), "quality-sketches")
+    merged = lambda *keys: made.groupBy(*keys, "sketch", "bucket").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
+    own = quantiles(made, "s", "t_lang", "t_source")
+    by_lang = quantiles(merged("t_lang"), "l", "t_lang").withColumnRenamed("t_lang", "_lang")
+    over = quantiles(merged(), "a")  # one row
+    joined = own.join(by_lang, own["t_lang"].eqNullSafe(by_lang["_lang"]), "left").withColumn("_one", F.lit(1)).join(F.broadcast(over.withColumn("_one", F.lit(1))), "_one", "left")
     drawn = lambda value, n, larger: (value * n + larger * shrink) / (n + shrink)
 
     def q(sketch: str, share: float) -> Column:
