@@ -25,7 +25,11 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def distances(queries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(query_id, doc_id, distance) of every pair of a broadcastable query set; norms are worked out once a vector."""
+    """(query_id, doc_id, distance) of every pair of a broadcastable query set; norms are worked out once a vector.
+
+    Rows without a vector take no part.
+    """
+    queries, vectors = queries.filter(F.col("vector").isNotNull()), vectors.filter(F.col("vector").isNotNull())
     q = queries.select("query_id", F.col("vector").alias("qv"), F.sqrt(dot(F.col("vector"), F.col("vector"))).alias("qn"))
     d = vectors.select("doc_id", F.col("vector").alias("dv"), F.sqrt(dot(F.col("vector"), F.col("vector"))).alias("dn"))
     similar = F.coalesce(F.try_divide(dot(F.col("qv"), F.col("dv")), F.col("qn") * F.col("dn")), F.lit(0.0))

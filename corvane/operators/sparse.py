@@ -176,8 +176,8 @@ def where_document(queries: DataFrame, docs: DataFrame, most_texts: int = 6, k:
     """(query_id, filter_text, doc_id, rank): documents that hold a filter text of a query, phrases before terms.
 
     The text is a pattern as in ILIKE: ``_`` stands for any character. Where queries and documents have a ``vector``,
-    each filter text gives its ``k`` documents nearest to the question by cosine, ties to the smaller doc_id; without
-    vectors the smallest doc_ids. Plain texts are found by the automaton in one pass; only those with a wildcard are
+    each filter text gives its ``k`` documents nearest to the question by cosine, ties to the smaller doc_id and those
+    without a vector last; without vectors the smallest doc_ids. Plain texts are found by the automaton in one pass; only those with a wildcard are
     compared with every text.
     """
     from . import dense  # which imports this module
@@ -196,8 +196,8 @@ def where_document(queries: DataFrame, docs: DataFrame, most_texts: int = 6, k:
         found = found.unionByName(odd)
     hit = found.join(if_small(asked, MOST_PATTERNS), "pattern")
     if near:
-        hit = hit.join(docs.select("doc_id", F.col("vector").alias("_dv")), "doc_id").withColumn("_distance", F.round(1 - dense.cosine(F.col("_qv"), F.col("_dv")), DIGITS))
-    rank = F.row_number().over(Window.partitionBy("query_id", "place").orderBy(*["_distance"] * near, "doc_id")) - 1
+        hit = hit.join(docs.select("doc_id", F.col("vector").alias("_dv")), "doc_id").withColumn("_distance", F.when(F.col("_qv").isNotNull() & F.col("_dv").isNotNull(), F.round(1 - dense.cosine(F.col("_qv"), F.col("_dv")), DIGITS)))
+    rank = F.row_number().over(Window.partitionBy("query_id", "place").orderBy(*[F.col("_distance").asc_nulls_last()] * near, "doc_id")) - 1
     return hit.withColumn("rank", rank.cast("long")).filter(F.col("rank") < k).select("query_id", "filter_text", "doc_id", "rank")
 
 

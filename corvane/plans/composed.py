@@ -17,22 +17,25 @@ from .queries import _BM25, _KEYWORD, _ORDERED, _TERMS, _TFIDF, _TOK, corpus, mm
 
 
 def near_corpus(spark, d):
-    return corpus(spark, d).withColumnRenamed("source", "heading").join(vectors(spark, d).select("doc_id", "vector"), "doc_id")
+    """Every document, with the vector of its id where there is one."""
+    return corpus(spark, d).withColumnRenamed("source", "heading").join(vectors(spark, d).select("doc_id", "vector"), "doc_id", "left")
 
 
 def near_questions(spark, d):
-    return questions(spark, d).join(vectors(spark, d).select(F.col("doc_id").alias("query_id"), "vector"), "query_id")
+    return questions(spark, d).join(vectors(spark, d).select(F.col("doc_id").alias("query_id"), "vector"), "query_id", "left")
 
 
-#: Stand before the tables of the same names: documents and questions that have a vector.
-_NEAR = """documents AS MATERIALIZED (SELECT d.*, e.embedding::DOUBLE[] AS v FROM main.documents d JOIN main.embeddings e ON e.vec_id = d.doc_id),
-benchmark AS MATERIALIZED (SELECT b.*, e.embedding::DOUBLE[] AS v FROM main.benchmark b JOIN main.embeddings e ON e.vec_id = b.item_id)"""
-_NEAR_DIST = """ndist AS MATERIALIZED (SELECT item_id AS query_id, doc_id, round(1 - coalesce(list_cosine_similarity(b.v, d.v), 0), 6) + 0.0 AS distance, d.v AS dv, b.v AS qv FROM benchmark b, documents d),
+#: Stand before the tables of the same names: documents and questions with the vector of their id, where there is one.
+_NEAR = """documents AS MATERIALIZED (SELECT d.*, e.embedding::DOUBLE[] AS v FROM main.documents d LEFT JOIN main.embeddings e ON e.vec_id = d.doc_id),
+benchmark AS MATERIALIZED (SELECT b.*, e.embedding::DOUBLE[] AS v FROM main.benchmark b LEFT JOIN main.embeddings e ON e.vec_id = b.item_id)"""
+_NEAR_DIST = """ndist AS MATERIALIZED (SELECT item_id AS query_id, doc_id, round(1 - coalesce(list_cosine_similarity(b.v, d.v), 0), 6) + 0.0 AS distance, d.v AS dv, b.v AS qv FROM benchmark b, documents d WHERE b.v IS NOT NULL AND d.v IS NOT NULL),
 nvec AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) - 1 AS rank FROM ndist QUALIFY rank < 12)"""
+#: A filter text's documents: those with a vector first, nearest to the question.
+_AWAY = "CASE WHEN b.v IS NOT NULL AND d.v IS NOT NULL THEN round(1 - coalesce(list_cosine_similarity(b.v, d.v), 0), 6) END"
 _NEAR_WHERE = f"""
 qf AS (SELECT query_id, {_ORDERED.format("(ps || ts)")}[1:6] AS fs FROM qp),
 qx AS (SELECT query_id, unnest(fs) AS filter_text, unnest(range(1, len(fs) + 1)) AS place FROM qf),
-filt AS (SELECT query_id, filter_text, doc_id, row_number() OVER (PARTITION BY query_id, place ORDER BY round(1 - coalesce(list_cosine_similarity(b.v, d.v), 0), 6), doc_id) - 1 AS rank
+filt AS (SELECT query_id, filter_text, doc_id, row_number() OVER (PARTITION BY query_id, place ORDER BY {_AWAY}, doc_id) - 1 AS rank
   FROM qx JOIN benchmark b ON item_id = query_id JOIN documents d ON d.text ILIKE '%' || filter_text || '%' QUALIFY rank < 5)
 """
 
@@ -101,7 +104,7 @@ def expanded_bm25(spark, d):
 
 
 @query(f"""WITH {_NEAR}, w AS (SELECT item_id AS query_id, 0 AS variant, v FROM benchmark UNION ALL SELECT item_id, 1, e.embedding::DOUBLE[] FROM benchmark JOIN main.embeddings e ON e.vec_id = item_id + 40),
-x AS (SELECT query_id, variant, doc_id, round(1 - coalesce(list_cosine_similarity(w.v, d.v), 0), 6) + 0.0 AS distance FROM w, documents d),
+x AS (SELECT query_id, variant, doc_id, round(1 - coalesce(list_cosine_similarity(w.v, d.v), 0), 6) + 0.0 AS distance FROM w, documents d WHERE w.v IS NOT NULL AND d.v IS NOT NULL),
 y AS (SELECT *, row_number() OVER (PARTITION BY query_id, variant ORDER BY distance, doc_id) AS r FROM x QUALIFY r <= 12),
 z AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY variant, r) - 1 AS place FROM y)
 SELECT query_id, doc_id, min(distance) AS distance, min(place) AS rank FROM z GROUP BY ALL""")
@@ -143,7 +146,7 @@ def excluded_evaluation_rows(spark, d):
 
 @query(f"""WITH {_NEAR}, {_TERMS}, {_NEAR_DIST}, dense_left AS (SELECT query_id, doc_id, distance FROM ndist QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) <= 12 + least(100, (SELECT count(*) FROM documents WHERE doc_id % 5 = 0)))
 SELECT 'vector' AS route, query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) - 1 AS rank FROM dense_left WHERE doc_id % 5 <> 0
-UNION ALL SELECT 'filter', query_id, doc_id, rank FROM (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id, place ORDER BY round(1 - coalesce(list_cosine_similarity(b.v, d.v), 0), 6), doc_id) - 1 AS rank
+UNION ALL SELECT 'filter', query_id, doc_id, rank FROM (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id, place ORDER BY {_AWAY}, doc_id) - 1 AS rank
   FROM (SELECT query_id, unnest(fs) AS filter_text, unnest(range(1, len(fs) + 1)) AS place FROM (SELECT query_id, {_ORDERED.format("(ps || ts)")}[1:6] AS fs FROM qp)) JOIN benchmark b ON item_id = query_id JOIN documents d ON d.doc_id % 5 <> 0 AND d.text ILIKE '%' || filter_text || '%' QUALIFY rank < 5)""")
 def excluded_routes(spark, d):
     """Evaluation rows are no candidates of the vector and filter routes."""

@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from .. import tables
-from ..operators import lexical
+from ..operators import lexical, vector_index
 from ..session import shared_dir
-from .queries import _BM25, _TOK, corpus, query, questions
+from .queries import _BM25, _DIST, _TOK, corpus, query, questions, vector_questions, vectors
 
 
 def _updated_index(spark, d) -> str:
@@ -35,3 +35,22 @@ def bm25_stored_index(spark, d):
 def stored_postings(spark, d):
     """All live postings of the same index."""
     return lexical.postings(spark, _updated_index(spark, d)).select("token", "doc_id", "tf", "dl")
+
+
+def _vector_index(spark, d) -> tuple[str, int]:
+    place = f"{shared_dir(spark)}/vectors-{uuid.uuid4().hex}"
+    tables.keep_until_exit(spark, place)
+    return place, vector_index.build(vectors(spark, d), place)
+
+
+@query(f"WITH {_DIST} SELECT query_id, doc_id, distance, rank FROM vec")
+def vector_index_all_cells(spark, d):
+    """The stored vector index with every cell open: the rows of vector_topk."""
+    place, cells = _vector_index(spark, d)
+    return vector_index.search(vector_questions(spark, d), place, probes=cells)
+
+
+@query(None)
+def vector_index_topk(spark, d):
+    """The stored vector index with a few cells a question; tests hold its recall against the exact search."""
+    return vector_index.search(vector_questions(spark, d), _vector_index(spark, d)[0])

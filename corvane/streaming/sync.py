@@ -3,48 +3,81 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.window import Window
 
-from ..operators import versioning
 from ..session import shared_dir
-from ..tables import drop_path
 
-STATE = "collection_code string, source_key string, version long, source_hash string, valid_from long, superseded_at long, is_active boolean"
+#: What the stream appends: one row for each version that begins.
+BEGUN = "collection_code string, source_key string, version long, source_hash string, valid_from long"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def sync_stream(arrivals: DataFrame, state_path: str, checkpoint: str, policy: str = "update_changed"):
-    """Merge a stream of (collection_code, source_key, source_hash, seq) into a versioned state.
+class SourceVersions(StatefulProcessor):
+    """The newest version of one source, kept as state; arrivals (source_hash, seq) are judged one after another.
 
-    Each batch reads the newest state and writes the next under its own number; a batch that runs again after a
-    failure starts from the same state and overwrites its own output, so it counts once.
+    A hash that is the newest already begins nothing, except under the policy ``force``: then the version begins anew.
     """
 
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        state = spark.read.schema(STATE).parquet(f"{state_path}/{number - 1}") if number else spark.createDataFrame([], STATE)
-        steps = versioning.version_history(batch).filter("change_kind <> 'same'")
-        # changes of one source within a batch follow each other: the first is judged against the state, the rest are new versions
-        first = steps.filter("version = 1").select("collection_code", "source_key", "source_hash", "seq")
-        ages = first.select("collection_code", "source_key", "seq")
-        merged = versioning.merge(state, first.drop("seq"), F.lit(-1).cast("long"), policy)
-        merged = merged.join(ages, ["collection_code", "source_key"], "left")
-        merged = merged.withColumn("valid_from", F.when(F.col("valid_from") == -1, F.col("seq")).otherwise(F.col("valid_from"))).withColumn("superseded_at", F.when(F.col("superseded_at") == -1, F.col("seq")).otherwise(F.col("superseded_at"))).drop("seq")
-        later = steps.filter("version > 1").select("collection_code", "source_key", "source_hash", "seq", (F.col("version") - 1).alias("step"))
-        base = versioning.latest(merged).select("collection_code", "source_key", F.col("version").alias("base"))
-        more = later.join(base, ["collection_code", "source_key"])
-        more = more.select("collection_code", "source_key", (F.col("base") + F.col("step")).alias("version"), "source_hash", F.col("seq").alias("valid_from"), F.lit(None).cast("long").alias("superseded_at"), F.lit(True).alias("is_active"))
-        both = merged.select(*more.columns).unionByName(more)
-        after = F.lead("valid_from").over(Window.partitionBy("collection_code", "source_key").orderBy("version", "valid_from"))
-        both = both.withColumn("superseded_at", F.coalesce("superseded_at", after)).withColumn("is_active", F.col("superseded_at").isNull())
-        both.write.mode("overwrite").parquet(f"{state_path}/{number}")
-        if number > 1:  # the one before stays, in case this batch runs again
-            drop_path(spark, f"{state_path}/{number - 2}")
-
-    return arrivals.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start()
+    def __init__(self, policy: str):
+        self.policy = policy
+
+    def init(self, handle) -> None:
+        self.newest = handle.getValueState("newest", "version long, source_hash string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        arrived = sorted((pair for f in rows for pair in zip(f["seq"].tolist(), f["source_hash"].tolist(), strict=True)), key=lambda p: p[0])
+        version, last = self.newest.get() if self.newest.exists() else (0, None)
+        begun = []
+        for seq, source_hash in arrived:
+            same = version > 0 and source_hash == last
+            if same and self.policy != "force":
+                continue
+            version, last = version + (not same), source_hash
+            begun.append((*key, version, source_hash, seq))
+        if begun:
+            self.newest.update((version, last))
+            yield pd.DataFrame(begun, columns=[c.split()[0] for c in BEGUN.split(", ")])
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def rocks_state(spark: SparkSession) -> Iterator[None]:
+    """Keyed state of streams that start inside is kept by the provider that their processors need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
+def sync_stream(arrivals: DataFrame, path: str, checkpoint: str, policy: str = "update_changed"):
+    """Append the versions that a stream of (collection_code, source_key, source_hash, seq) begins to the table at ``path``.
+
+    State is one row a source, in the stream's own store: a batch reads and writes that of its arrivals alone, and the
+    file sink counts each batch once. versions() gives the state of all sources.
+    """
+    with rocks_state(arrivals.sparkSession):
+        begun = arrivals.groupBy("collection_code", "source_key").transformWithStateInPandas(SourceVersions(policy), BEGUN, "Append", "None")
+        return begun.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def versions(begun: DataFrame) -> DataFrame:
+    """One row a version of what sync_stream() wrote: when it began, when another followed (null while it is active)."""
+    after = F.lead("valid_from").over(Window.partitionBy("collection_code", "source_key").orderBy("valid_from", "version"))
+    out = begun.withColumn("superseded_at", after)
+    return out.select("collection_code", "source_key", "version", "source_hash", "valid_from", "superseded_at", F.col("superseded_at").isNull().alias("is_active"))
 
 
 def chat_log(turns: DataFrame, path: str, checkpoint: str):
@@ -84,13 +117,9 @@ class Progress(StreamingQueryListener):
         return sum(n for _, n, _ in self.batches) / seconds if seconds else 0.0
 
 
-def newest_state(spark: SparkSession, state_path: str) -> DataFrame:
-    """The state after the last batch."""
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(state_path)
-    found = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(place)
-    last = max(int(x.getPath().getName()) for x in found)
-    return spark.read.schema(STATE).parquet(f"{state_path}/{last}")
+def synced(spark: SparkSession, path: str) -> DataFrame:
+    """All versions of the table at ``path``."""
+    return versions(spark.read.schema(BEGUN).parquet(path))
 
 
 def work_dir(spark: SparkSession) -> str:
