@@ -151,7 +151,7 @@ def json_object_text(c: Column) -> Column:
     """The whole text if it is a JSON object, else its outermost ``{...}``, if that is one."""
     is_object = lambda x: F.try_parse_json(x).isNotNull() & F.regexp_like(x, F.lit(r"(?s)^\s*\{.*\}\s*$"))
     inner = F.regexp_extract(c, r"(?s)\{.*\}", 0)
-    return F.when(is_object(c), F.trim(c)).when(is_object(inner), inner)
+    return F.when(is_object(c), F.regexp_replace(c, r"^\s+|\s+$", "")).when(is_object(inner), inner)
 
 
 def llm_score(c: Column) -> Column:

@@ -59,6 +59,13 @@ def same_rows(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def differences(a: DataFrame, b: DataFrame) -> DataFrame:
+    """One row: rows that ``a`` has more often than ``b``, the other way round, and whether there are none."""
+    count = lambda x, y, name: x.exceptAll(y).agg(F.count("*").alias(name))
+    both = count(a, b, "only_a").crossJoin(F.broadcast(count(b, a, "only_b")))
+    return both.withColumn("same", (F.col("only_a") == 0) & (F.col("only_b") == 0))
+
+
 def split_cases(cases: DataFrame, collection: str) -> DataFrame:
     """Evaluation cases as one collection asks them: its own question, else the case's."""
     own = F.coalesce(F.nullif(F.try_element_at("questions", F.lit(collection)), F.lit("")), F.col("question"), F.lit(""))

@@ -44,10 +44,9 @@ def _incoming(spark, d):
     docs = table(spark, d, "documents")
     coll = docs.select(F.col("source").alias("collection_code"), F.substring("source", 4, 9).cast("long").alias("collections_id")).distinct().filter("collection_code <> 'src3'")
     v = _versions(spark, d)
-    # a version of its own key is marked by its own id, so marks go by version here
-    marked = v.filter("source_versions_id % 10 = 0").select("source_versions_id")
-    made = versioning.common_documents(v, coll, v.limit(0))
-    return made.drop("is_evaluation").join(marked.withColumn("m", F.lit(True)), "source_versions_id", "left").withColumn("is_evaluation", F.coalesce("m", F.lit(False))).drop("m")
+    # ids that are divisible by 10 share their source keys with no other
+    marked = v.filter("source_versions_id % 10 = 0").select("source_key")
+    return versioning.common_documents(v, coll, marked)
 
 
 def _common(spark, d):
@@ -248,11 +247,16 @@ def experiment_run(spark, d):
     return evaluation.experiment(cases, retriever, truth, picky, strict, 3, 5, 30)
 
 
-@query("""SELECT * FROM (VALUES ('ChunkConfig.overlap', '150'), ('ChunkConfig.size', '800'), ('ChunkConfig.strategy', '"recursive"'), ('Settings.bm25', 'true'), ('Settings.candidates', '12'), ('Settings.embed_variants', 'false'), ('Settings.guard', 'false'),
+@query("""SELECT name, value, n_questions, n_documents, corpus FROM (VALUES ('ChunkConfig.overlap', '150'), ('ChunkConfig.size', '800'), ('ChunkConfig.strategy', '"recursive"'), ('Settings.bm25', 'true'), ('Settings.candidates', '12'), ('Settings.embed_variants', 'false'), ('Settings.guard', 'false'),
  ('Settings.hybrid', 'true'), ('Settings.k', '3'), ('Settings.keyword', 'true'), ('Settings.mmr', 'false'), ('Settings.mmr_fetch', '8'), ('Settings.mmr_weight', '0.5'), ('Settings.pool', '8'), ('Settings.reorder', 'true'), ('Settings.rerank', 'true'),
- ('Settings.tfidf', 'false'), ('Settings.threshold', '0.9'), ('Settings.validate', 'true'), ('Settings.vector', 'true'), ('Settings.where_document', 'true')) t(name, value)""")
+ ('Settings.tfidf', 'false'), ('Settings.threshold', '0.9'), ('Settings.validate', 'true'), ('Settings.vector', 'true'), ('Settings.where_document', 'true')) t(name, value),
+ (SELECT count(*) AS n_questions FROM benchmark), (SELECT sum(n)::BIGINT AS n_documents, sha256(string_agg(h, '' ORDER BY lang)) AS corpus FROM (SELECT lang, count(*) AS n, lang || ':' || count(*) || ':' || sum(length(text)) AS h FROM documents GROUP BY lang))""")
 def runtime_config(spark, d):
-    return evaluation.config_snapshot(spark, retrieve.Settings(), chunking.ChunkConfig())
+    """The settings of a run with what it ran on: its questions, its documents, and a digest of their number and length by language."""
+    by_lang = corpus(spark, d).groupBy("lang").agg(F.concat_ws(":", "lang", F.count("*").cast("string"), F.sum(F.length("content")).cast("string")).alias("h"), F.count("*").alias("n"))
+    ran = by_lang.agg(F.sum("n").alias("n_documents"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("lang", "h"))), lambda x: x["h"]), ""), 256).alias("corpus"))
+    ran = ran.crossJoin(F.broadcast(table(spark, d, "benchmark").agg(F.count("*").alias("n_questions"))))
+    return evaluation.config_snapshot(spark, retrieve.Settings(), chunking.ChunkConfig()).crossJoin(F.broadcast(ran))
 
 
 @query("SELECT doc_id AS case_id, CASE doc_id % 3 WHEN 0 THEN 'A' ELSE '' END AS business_grade, CASE doc_id % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS business_score, CASE doc_id % 3 WHEN 1 THEN 'shorten' ELSE '' END AS business_revision_notes FROM labels")
@@ -310,11 +314,12 @@ def small_rules(spark, d):
     return table(spark, d, "documents").select("doc_id", ingest.block_kind(F.when(n % 3 == 0, "PDF"), name).alias("is_pdf"), T.clamped(F.when(n % 4 == 0, "many").otherwise(n.cast("string")), 1, 256).alias("batch"), count.alias("n_nul"), clean["k"].alias("cleaned"))
 
 
-@query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '{"a": 1}' WHEN 1 THEN '{"a": {"b": 2}}' END AS found FROM documents""")
+@query("""SELECT event_id, CASE event_id % 4 WHEN 3 THEN NULL ELSE props END AS found FROM events""")
 def json_in_text(spark, d):
-    m = F.col("doc_id") % 4
-    said = F.when(m == 0, ' {"a": 1} ').when(m == 1, 'Well: {"a": {"b": 2}} - so it is.').when(m == 2, "none {here").otherwise("no {braces} at all")
-    return table(spark, d, "documents").select("doc_id", T.json_object_text(said).alias("found"))
+    """The JSON of events' properties: alone, in the middle of what is said, and not there or broken."""
+    m, props = F.col("event_id") % 4, F.col("props")
+    said = F.when(m == 0, F.concat(F.lit(" "), props, F.lit("\n"))).when(m == 3, F.concat(F.lit("none {here "), "event_type")).otherwise(F.concat("event_type", F.lit(": "), props, F.lit(" so it is.")))
+    return table(spark, d, "events").select("event_id", T.json_object_text(said).alias("found"))
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'g' END AS registration_group_id FROM customer""")
@@ -346,7 +351,7 @@ def chat_log_stream(spark, d):
         part.write.mode("append").parquet(f"{place}/in")
         sync.chat_log(spark.readStream.schema(turns.schema).parquet(f"{place}/in"), f"{place}/log", f"{place}/checkpoint").awaitTermination()
     tables.keep_until_exit(spark, place)
-    log = spark.read.schema(turns.schema).option("recursiveFileLookup", "true").parquet(f"{place}/log")
+    log = spark.read.schema(turns.schema).parquet(f"{place}/log")
     lines = F.array_sort(F.collect_list(F.struct("turn", F.concat_ws(": ", "role", "text").alias("line"))))
     return log.groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("history"))
 
