@@ -15,7 +15,9 @@
    decide. So every pair that shares a region and whose components differ is looked at, whatever the region's size.
 
 A link needs 100 * intersection >= percent * union of full sets. With 16 orders, a pair at the threshold of 0.85
-shares no region with probability (1 - 0.85 ** 4) ** 16 = 7e-6. Lower thresholds use 32 overlapping orders.
+shares no region with probability (1 - 0.85 ** 4) ** 16 = 7e-6. Lower thresholds use 32 overlapping orders. A pair that
+shares one is passed over if fewer than percent less ``SLACK`` of its signature values agree: at the threshold with
+probability 9e-6 for 85 % and 4e-5 for 80 %.
 
 Defined results: a text with fewer words than the shingle takes is one shingle; null, empty or blank text has an
 empty set and is linked with nothing. A null doc_id is linked with nothing and kept; its component is null.

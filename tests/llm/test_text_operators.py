@@ -220,3 +220,24 @@ def test_token_caches_are_bounded():
         assert counter.count(t) == len(model.encode(t))
     assert len(counter.after_space) < 200 and max(map(len, [*counter.after_space, *counter.bare])) <= token_counts.LONGEST
     assert counter.chars <= 200 * token_counts.LONGEST
+
+
+def test_quality_cutoffs_are_the_same_in_every_run(spark):
+    """More rows than buckets need merging for: partitions, their number and the order of rows change nothing."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = quality_rules.measured(docs.select("doc_id", "text", "lang", "source"), ["doc_id", "lang", "source"]).crossJoin(spark.range(9))
+    rows = rows.withColumn("m_mark_share", rows["m_mark_share"] * (1 + rows["id"] / 97)).cache()
+    runs = [sorted(map(tuple, quality_rules.thresholds(r).collect()), key=repr) for r in (rows.repartition(3, "doc_id"), rows.repartition(11), rows.orderBy("word_chars"))]
+    assert runs[0] == runs[1] == runs[2] and runs[0]
+    rows.unpersist()
+
+
+def test_quality_quantiles_are_close(spark):
+    """Of buckets that hold many values a quantile is off by less than their width."""
+    v = np.random.default_rng(5).lognormal(0, 2, 30_000)
+    columns = {c: v if c == "m_mark_share" else np.zeros(len(v)) for c in quality_rules.sketched().values()}
+    rows = spark.createDataFrame(pd.DataFrame({"lang": "en", "source": "a", "base_failed": False, **columns}))
+    got = quality_rules.quantiles(quality_rules.sketches(rows), "s", "t_lang").first()
+    for q in (0.5, 0.75):
+        exact = np.quantile(v, q, method="inverted_cdf")
+        assert exact / quality_rules.GAMMA <= got["s" + quality_rules.quantile_name("mark_share", q)] <= exact
