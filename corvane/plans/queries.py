@@ -370,7 +370,12 @@ def latest_version(spark, d):
 
 @query(f"WITH {_HISTORY} SELECT change_kind, count(*) AS n FROM v GROUP BY ALL")
 def sync_counters(spark, d):
-    return versioning.version_history(arrivals(spark, d)).groupBy("change_kind").agg(F.count("*").alias("n"))
+    """What a sync's own write counts of the kinds of change."""
+    place = sync.work_dir(spark)
+    tables.keep_until_exit(spark, place)
+    kinds = {k: F.count_if(F.col("change_kind") == k) for k in ("new", "changed", "same")}
+    counts = sinks.write_counted(versioning.version_history(arrivals(spark, d)), f"{place}/history", **kinds)
+    return spark.createDataFrame([(k, n) for k, n in counts.items() if n], "change_kind string, n long")
 
 
 @query(f"""WITH {_SQL_ARRIVALS}, st AS (SELECT collection_code, source_key, 1 AS version, arg_max(source_hash, seq) AS source_hash, source_key::BIGINT % 3 <> 0 AS is_active FROM arrivals WHERE seq <= (SELECT max(seq) // 2 FROM arrivals) GROUP BY ALL),

@@ -1,4 +1,4 @@
-"""Registered queries of indexes that are kept between runs."""
+"""Registered queries of indexes that are kept between runs, and of chunks by a model's tokens."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from .. import tables
-from ..operators import lexical, vector_index
+from ..operators import chunking, commits, lexical, token_windows, vector_index
 from ..session import shared_dir
 from .queries import _BM25, _DIST, _TOK, corpus, query, questions, vector_questions, vectors
 
@@ -54,3 +54,28 @@ def vector_index_all_cells(spark, d):
 def vector_index_topk(spark, d):
     """The stored vector index with a few cells a question; tests hold its recall against the exact search."""
     return vector_index.search(vector_questions(spark, d), _vector_index(spark, d)[0])
+
+
+@query(None)
+def chunk_model_tokens(spark, d):
+    """Every document in windows of 256 tokens of a public vocabulary; tests hold them against the library."""
+    import public_tokenizers
+
+    return token_windows.chunk_model_tokens(corpus(spark, d).select("doc_id", "content"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(r"""WITH t AS (SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS ts FROM documents),
+s AS (SELECT doc_id, ts, unnest(range(0, greatest(ceil((len(ts) - 50) / 150.0)::BIGINT, 1))) AS i FROM t WHERE len(ts) > 0)
+SELECT doc_id::VARCHAR AS source_key, CASE WHEN doc_id % 3 <> 0 AND doc_id % 7 = 0 THEN 2 ELSE 1 END::BIGINT AS version, i AS chunk_index, array_to_string(ts[i * 150 + 1 : i * 150 + 200], ' ') AS chunk FROM s""")
+def versions_with_chunks(spark, d):
+    """The newest versions after two commits: an earlier corpus, in which some documents lack and some read otherwise, and the present one."""
+    place = f"{shared_dir(spark)}/commits-{uuid.uuid4().hex}"
+    tables.keep_until_exit(spark, place)
+    docs = corpus(spark, d).select("doc_id", "content")
+    other = F.when(F.col("doc_id") % 7 == 0, F.concat("content", F.lit(" words of an earlier version"))).otherwise(F.col("content"))
+    for k, some in enumerate((docs.filter("doc_id % 3 <> 0").select("doc_id", other.alias("content")), docs)):
+        sources = some.select(F.col("doc_id").cast("string").alias("source_key"), F.sha2("content", 256).alias("source_hash"))
+        chunks = chunking.chunk_tokens(some).select(F.col("doc_id").cast("string").alias("source_key"), "chunk_index", "chunk")
+        commits.commit(sources, chunks, place, k)
+    now = commits.newest(commits.read(spark, place))
+    return now.select("source_key", "version", F.explode("chunks").alias("c")).select("source_key", "version", "c.chunk_index", "c.chunk")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,13 @@ def write_checked(df: DataFrame, path: str, kind: str = "json") -> int:
     return there
 
 
+def write_counted(df: DataFrame, path: str, **counts: Column) -> dict[str, int]:
+    """Write ``df`` and return ``counts`` (aggregates of it by name), taken by the write itself as its rows pass."""
+    seen = Observation("counts")
+    df.observe(seen, *[c.alias(name) for name, c in counts.items()]).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
 def write_question_sets(cases: DataFrame, collections: list[str], path: str) -> dict:
     """A folder of cases a collection, and a manifest of them; each is read back and counted.
 
