@@ -360,6 +360,17 @@ def region_links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return block_pairs(rows, BLOCK, "doc", "own", "set").mapInArrow(run, "a long, b long")
 
 
+def grown(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of what ``groups`` (node, component) hold and ``links`` (a, b) join.
+
+    Members stand for their component by one edge to it, so it takes few rounds, whatever the links that made them.
+    """
+    if links.isEmpty():
+        return groups
+    stars = groups.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return connected_components(stars.union(links.select("a", "b")))
+
+
 def link_components(docs: DataFrame, words: int, percent: int, marks: DataFrame) -> DataFrame:
     """(node, component) of the class representatives in ``marks`` that are linked with another."""
     spark = docs.sparkSession
@@ -369,11 +380,9 @@ def link_components(docs: DataFrame, words: int, percent: int, marks: DataFrame)
     with arrow_rows(spark, SET_ROWS):
         sets = materialize(full_sets(docs, found.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), words), "sets")
         best = found.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
-        links = materialize(confirmed(best, sets, percent), "links")
-        groups = connected_components(links)
+        groups = connected_components(materialize(confirmed(best, sets, percent), "links"))
         other = with_components(with_components(found.join(best, ["a", "b"], "left_anti"), groups, "a", "ca"), groups, "b", "cb").filter("ca <> cb")
-        links = materialize(links.union(confirmed(other, sets, percent)), "links")
-    groups = connected_components(links)
+        groups = grown(groups, materialize(confirmed(other, sets, percent), "links"))
     with arrow_rows(spark, SET_ROWS):
         likely = materialize(likely_members(apart(shared, groups), reps, percent), "likely")
     if likely.isEmpty():
@@ -381,8 +390,7 @@ def link_components(docs: DataFrame, words: int, percent: int, marks: DataFrame)
     with arrow_rows(spark, SET_ROWS):
         sets = materialize(full_sets(docs, likely.select("doc").distinct(), words), "sets")
     with arrow_rows(spark, BLOCK_ROWS):
-        links = materialize(links.union(region_links(likely, sets, percent)), "links")
-    return connected_components(links)
+        return grown(groups, materialize(region_links(likely, sets, percent), "links"))
 
 
 def near_dedup(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
