@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, byte_table, materialize, mix, partitions, scope, span_hashes, text_chunks, word_spans
-from .graph import connected_components
+from .graph import connected_components, forest_roots
 
 #: Words: runs of bytes other than space and 0x09-0x0D.
 SPACED, LOW = byte_table(lambda b: not (b == 32 or 9 <= b <= 13))
@@ -44,6 +44,8 @@ DEPTH = 4
 BITMAP_BITS = 27
 #: Most members, and bytes of their sets, in a block of a region (a larger set is a block alone).
 BLOCK, BLOCK_BYTES = 256, 1 << 20
+#: Most blocks outside a region's largest component that one part of its join takes.
+PART_BLOCKS = 16
 #: Shingles whose sets get their signatures at once, about.
 SHINGLES = 1 << 17
 #: Shingles that two blocks are compared on at once.
@@ -222,17 +224,17 @@ def _linked(x: pa.Scalar, y: pa.Scalar, percent: int) -> bool:
     return 100 * same >= percent * (len(x) + len(y) - same)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach ``percent``."""
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, *keep: str) -> DataFrame:
+    """The long columns ``keep`` of the pairs (a, b) whose full sets reach ``percent``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = np.array([_linked(x, y, percent) for x, y in zip(batch["x"], batch["y"], strict=True)], bool)
-            yield pa.record_batch({"a": pa.array(batch["a"].to_numpy()[ok]), "b": pa.array(batch["b"].to_numpy()[ok])})
+            ok = pa.array([_linked(x, y, percent) for x, y in zip(batch["x"], batch["y"], strict=True)], pa.bool_())
+            yield batch.select(keep).filter(ok)
 
-    wide = pairs.select("a", "b").join(sets.select(F.col("doc").alias("a"), F.col("set").alias("x")), "a")
+    wide = pairs.select("a", "b", *[c for c in keep if c not in ("a", "b")]).join(sets.select(F.col("doc").alias("a"), F.col("set").alias("x")), "a")
     wide = wide.join(sets.select(F.col("doc").alias("b"), F.col("set").alias("y")), "b")
-    return wide.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return wide.select(*keep, "x", "y").mapInArrow(run, ", ".join(f"{c} long" for c in keep))
 
 
 def with_components(rows: DataFrame, groups: DataFrame, doc: str, name: str) -> DataFrame:
@@ -253,18 +255,18 @@ def block_pairs(members: DataFrame, size: int, *columns: str) -> DataFrame:
     """(region, t, x, y, same): every two blocks of a region's members with one outside its largest component.
 
     ``members`` (doc, t, region, rest, bytes and ``columns``) are dealt to blocks by hash, of at most about BLOCK
-    members and BLOCK_BYTES bytes; x and y are arrays of ``columns``.
+    members and BLOCK_BYTES bytes; x and y are arrays of ``columns``. A region with many blocks is joined in parts:
+    each takes up to PART_BLOCKS of those outside its largest component, and all blocks.
     """
-    key = ["region", "t", "rest"]
-    count = F.greatest(F.ceil(F.count("*") / size), F.ceil(F.sum("bytes") / BLOCK_BYTES))
-    sizes = members.groupBy(*key).agg(count.cast("int").alias("blocks"))
-    dealt = members.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    blocks = materialize(dealt.groupBy(*key, "block").agg(F.collect_list(F.struct(*columns)).alias("members")), "blocks")
-    rest = blocks.filter("rest")
-    ids = blocks.select("region", "rest", F.col("block").alias("j"))
-    pairs = rest.select("region", F.col("block").alias("i")).join(ids, "region").filter("not rest or i <= j")
-    wide = pairs.join(rest.select("region", "t", F.col("block").alias("i"), F.col("members").alias("x")), ["region", "i"])
-    wide = wide.join(blocks.select("region", "rest", F.col("block").alias("j"), F.col("members").alias("y")), ["region", "rest", "j"])
+    rest = F.col("rest")
+    count = [F.greatest(F.ceil(F.count_if(c) / size), F.ceil(F.coalesce(F.sum(F.when(c, F.col("bytes"))), F.lit(0)) / BLOCK_BYTES)).cast("int") for c in (rest, ~rest)]
+    sizes = members.groupBy("region", "t").agg(count[0].alias("outside"), count[1].alias("inside"))
+    dealt = members.join(sizes, ["region", "t"]).withColumn("block", F.pmod(F.xxhash64("doc"), F.when(rest, F.col("outside")).otherwise(F.col("inside"))).cast("int"))
+    grouped = dealt.groupBy("region", "t", "rest", "block").agg(F.first("outside").alias("outside"), F.collect_list(F.struct(*columns)).alias("members"))
+    blocks = materialize(grouped.withColumn("parts", F.ceil(F.col("outside") / PART_BLOCKS).cast("int")), "blocks")
+    left = blocks.filter("rest").select("region", "t", F.pmod("block", "parts").alias("part"), F.col("block").alias("i"), F.col("members").alias("x"))
+    right = blocks.filter("parts > 0").select("region", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "rest", F.col("block").alias("j"), F.col("members").alias("y"))
+    wide = left.join(right, ["region", "part"]).filter("not rest or i <= j")
     return wide.select("region", "t", "x", "y", (F.col("rest") & (F.col("i") == F.col("j"))).alias("same"))
 
 
@@ -323,9 +325,9 @@ def _shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 
 
 def _joining(x: pa.StructArray, y: pa.StructArray, percent: int) -> list[tuple[int, int]]:
-    """Links between members (doc, own, set) of two blocks that join components ``own``."""
-    (dx, ox, sx), (dy, oy, sy) = x.flatten(), y.flatten()
-    dx, ox, dy, oy = (c.to_numpy() for c in (dx, ox, dy, oy))
+    """Components ``own`` that links between members (own, set) of two blocks join."""
+    (ox, sx), (oy, sy) = x.flatten(), y.flatten()
+    ox, oy = ox.to_numpy(), oy.to_numpy()
     sx, sy = ([np.frombuffer(s, np.uint64) for s in z.to_pylist()] for z in (sx, sy))
     same = _shared_counts(sx, sy)
     nx, ny = np.array([len(s) for s in sx]), np.array([len(s) for s in sy])
@@ -343,12 +345,12 @@ def _joining(x: pa.StructArray, y: pa.StructArray, percent: int) -> list[tuple[i
         a, b = find(int(ox[i[k]])), find(int(oy[j[k]]))
         if a != b:
             parent[max(a, b)] = min(a, b)
-            out.append((int(dx[i[k]]), int(dy[j[k]])))
+            out.append((int(ox[i[k]]), int(oy[j[k]])))
     return out
 
 
 def region_links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that join two components among the ``likely`` members (doc, own, rest, region, t) of a region."""
+    """(a, b): components that a link joins among the ``likely`` members (doc, own, rest, region, t) of a region."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -357,22 +359,24 @@ def region_links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     rows = likely.join(sets, "doc").withColumn("bytes", F.octet_length("set"))
-    return block_pairs(rows, BLOCK, "doc", "own", "set").mapInArrow(run, "a long, b long")
+    return block_pairs(rows, BLOCK, "own", "set").mapInArrow(run, "a long, b long")
 
 
-def grown(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """Components of what ``groups`` (node, component) hold and ``links`` (a, b) join.
+def grown(groups: DataFrame, joined: DataFrame) -> DataFrame:
+    """``groups`` (node, component; a component's own id may lack) after the components in ``joined`` (a, b) are one.
 
-    Members stand for their component by one edge to it, so it takes few rounds, whatever the links that made them.
+    Only components that are joined go through the search for what hangs together; members follow by one join.
     """
-    if links.isEmpty():
+    if joined.isEmpty():
         return groups
-    stars = groups.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return connected_components(stars.union(links.select("a", "b")))
+    merged = connected_components(joined)
+    now = merged.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    moved = groups.filter("node <> component").join(now, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    return materialize(moved.union(merged.filter("node <> component").select("node", "component")), "grown")
 
 
 def link_components(docs: DataFrame, words: int, percent: int, marks: DataFrame) -> DataFrame:
-    """(node, component) of the class representatives in ``marks`` that are linked with another."""
+    """(node, component) of the class representatives in ``marks`` that are linked with a smaller one."""
     spark = docs.sparkSession
     reps = materialize(marks.filter("n > 0 and doc is not null").groupBy("s1", "s2").agg(F.min(F.struct("doc", "n", "sig")).alias("x")).select("x.doc", "x.n", "x.sig"), "reps")
     shared = regions(reps, percent)
@@ -380,9 +384,11 @@ def link_components(docs: DataFrame, words: int, percent: int, marks: DataFrame)
     with arrow_rows(spark, SET_ROWS):
         sets = materialize(full_sets(docs, found.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), words), "sets")
         best = found.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
-        groups = connected_components(materialize(confirmed(best, sets, percent), "links"))
+        # one smaller partner each, so these links are a forest
+        groups = forest_roots(confirmed(best, sets, percent, "a", "b"))
         other = with_components(with_components(found.join(best, ["a", "b"], "left_anti"), groups, "a", "ca"), groups, "b", "cb").filter("ca <> cb")
-        groups = grown(groups, materialize(confirmed(other, sets, percent), "links"))
+        linked = confirmed(other, sets, percent, "ca", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        groups = grown(groups, materialize(linked, "links"))
     with arrow_rows(spark, SET_ROWS):
         likely = materialize(likely_members(apart(shared, groups), reps, percent), "likely")
     if likely.isEmpty():

@@ -168,6 +168,25 @@ def test_near_dedup_outlives_the_pipeline(spark):
     assert got.count() == 200
 
 
+def test_forest_roots(spark):
+    """A path of 200 nodes, a star, a repeated row and a lone edge; an empty table."""
+    up = {k: k - 1 for k in range(1, 200)} | {k: 1000 for k in range(1001, 1300)} | {5000: 7}
+    rows = [*up.items(), (5000, 7)]
+    got = {x.node: x.component for x in graph.forest_roots(spark.createDataFrame(rows, "a long, b long")).collect()}
+    assert got == {k: 1000 if 1000 < k < 1300 else 0 for k in up}
+    assert graph.forest_roots(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+def test_block_pairs_in_parts(spark):
+    """Every two blocks with one outside the largest component meet once, also where a region is joined in many parts."""
+    rows = [(k, 0, k % 2, k % 3 > 0, 100) for k in range(600)] + [(1000 + k, 1, 7, True, 100) for k in range(3)] + [(2000, 0, 9, False, 100)]
+    members = spark.createDataFrame(rows, "doc long, t int, region long, rest boolean, bytes long")
+    got = [(r.region, i.doc, j.doc) for r in near_dedup.block_pairs(members, 4, "doc").collect() for i in r.x for j in r.y if not r.same or i.doc < j.doc]
+    want = [(x[2], x[0], y[0]) for x in rows for y in rows if x[2] == y[2] and x[3] and (not y[3] or x[0] < y[0])]
+    unordered = lambda pairs: sorted((r, *sorted((a, b))) for r, a, b in pairs)
+    assert unordered(got) == unordered(want)
+
+
 def test_connected_components(spark):
     r = random.Random(7)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(1000, 1100)]
