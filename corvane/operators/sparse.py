@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..tables import materialize, scope
-from .sizes import if_small, in_blocks
+from .sizes import if_small
 
 try:
     import ahocorasick
@@ -177,10 +177,10 @@ def where_document(queries: DataFrame, docs: DataFrame, most_texts: int = 6, k:
 
     The text is a pattern as in ILIKE: ``_`` stands for any character. Where queries and documents have a ``vector``,
     each filter text gives its ``k`` documents nearest to the question by cosine, ties to the smaller doc_id and those
-    without a vector last; without vectors the smallest doc_ids. Plain texts are found by the automaton in one pass; only those with a wildcard are
-    compared with every text.
+    without a vector last; without vectors the smallest doc_ids. Plain texts are found by the automaton in one pass, those with a wildcard by the trigrams
+    of their literal parts.
     """
-    from . import dense  # which imports this module
+    from . import dense, substring  # the first imports this module
 
     near = "vector" in queries.columns and "vector" in docs.columns
     ts = T.terms(F.col("query"))
@@ -190,10 +190,7 @@ def where_document(queries: DataFrame, docs: DataFrame, most_texts: int = 6, k:
     low = docs.select("doc_id", F.lower("content").alias("content"), F.lit("").alias("heading"), *["vector"] * near)
     wild = F.contains("pattern", F.lit("_"))
     found = pattern_counts(low, asked.filter(~wild).select("pattern")).select("doc_id", "pattern")
-    patterns = asked.filter(wild).select("pattern").distinct()
-    for block in in_blocks(patterns, "pattern"):
-        odd = low.join(block, F.expr("content like concat('%', pattern, '%')")).select("doc_id", "pattern")
-        found = found.unionByName(odd)
+    found = found.unionByName(substring.matches(low, asked.filter(wild).select("pattern")))
     hit = found.join(if_small(asked, MOST_PATTERNS), "pattern")
     if near:
         hit = hit.join(docs.select("doc_id", F.col("vector").alias("_dv")), "doc_id").withColumn("_distance", F.when(F.col("_qv").isNotNull() & F.col("_dv").isNotNull(), F.round(1 - dense.cosine(F.col("_qv"), F.col("_dv")), DIGITS)))

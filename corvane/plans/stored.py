@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from .. import tables
-from ..operators import chunking, commits, lexical, token_windows, vector_index
+from ..operators import chunking, commits, lexical, substring, token_windows, vector_index
 from ..session import shared_dir
 from .queries import _BM25, _DIST, _TOK, corpus, query, questions, vector_questions, vectors
 
@@ -79,3 +79,17 @@ def versions_with_chunks(spark, d):
         commits.commit(sources, chunks, place, k)
     now = commits.newest(commits.read(spark, place))
     return now.select("source_key", "version", F.explode("chunks").alias("c")).select("source_key", "version", "c.chunk_index", "c.chunk")
+
+
+@query(r"""WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{8,}')) AS t FROM benchmark),
+p AS (SELECT DISTINCT substr(t, 1, 4) || '_' || substr(t, 6) AS pattern FROM w)
+SELECT pattern, doc_id FROM p JOIN documents ON lower(text) LIKE '%' || pattern || '%'""")
+def substring_wildcards(spark, d):
+    """Documents with a word of `benchmark` whose fifth letter may be any: candidates by stored trigrams, each compared with its text."""
+    place = f"{shared_dir(spark)}/trigrams-{uuid.uuid4().hex}"
+    tables.keep_until_exit(spark, place)
+    docs = corpus(spark, d).select("doc_id", "content")
+    substring.store(docs, place)
+    words = spark.read.parquet(f"{d}/benchmark.parquet").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{8,}"), F.lit(0))).alias("t"))
+    patterns = words.select(F.concat(F.substring("t", 1, 4), F.lit("_"), F.expr("substring(t, 6)")).alias("pattern")).distinct()
+    return substring.matches(docs, patterns, place).select("pattern", "doc_id")
