@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import itertools
 import random
 
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,7 +178,7 @@ def figure_regions(rects: DataFrame, gap: float = 28, overlap: float = 0.18, pad
     """(page_id, x0, y0, x1, y1) of figures: image rectangles of a page, cut to it, that touch or nearly do are one.
 
     Rectangles that agree to a tenth of a point count once. A figure is the hull of its rectangles; those that fill the
-    page, as scans do, and small or thin ones go. A page's images are few; pages are the groups.
+    page, as scans do, and small or thin ones go. Pages are the groups; rectangles of a page are swept from left to right.
     """
 
     def run(page: pa.Table) -> pa.Table:
@@ -189,13 +189,11 @@ def figure_regions(rects: DataFrame, gap: float = 28, overlap: float = 0.18, pad
             if box[2] - box[0] > 2 and box[3] - box[1] > 2:
                 seen.setdefault(tuple(round(v, 1) for v in box), box)
         boxes = list(seen.values())
-        label = list(range(len(boxes)))
-        for i, j in itertools.combinations(range(len(boxes)), 2):
-            if label[i] != label[j] and _joined(boxes[i], boxes[j], gap, overlap):
-                label = [label[i] if x == label[j] else x for x in label]
+        clusters: dict[int, list[list[float]]] = {}
+        for b, c in zip(boxes, joined_boxes(boxes, gap, overlap), strict=True):
+            clusters.setdefault(c, []).append(b)
         out = []
-        for c in set(label):
-            own = [b for b, x in zip(boxes, label, strict=True) if x == c]
+        for own in clusters.values():
             x0, y0, x1, y1 = *(min(b[k] for b in own) for k in (0, 1)), *(max(b[k] for b in own) for k in (2, 3))
             w, h = x1 - x0, y1 - y0
             share = w * h / max(1.0, width * height)
@@ -209,13 +207,43 @@ def figure_regions(rects: DataFrame, gap: float = 28, overlap: float = 0.18, pad
     return spread.groupBy("page_id").applyInArrow(run, "page_id long, x0 double, y0 double, x1 double, y1 double")
 
 
-def _joined(a: list[float], b: list[float], gap: float, overlap: float) -> bool:
-    """Touching, or apart by at most ``gap`` on one axis while they share at least ``overlap`` of the smaller side on the other."""
-    shared = [min(a[k + 2], b[k + 2]) - max(a[k], b[k]) for k in (0, 1)]
-    if min(shared) >= 0:
-        return True
-    enough = [max(0.0, shared[k]) >= overlap * min(a[k + 2] - a[k], b[k + 2] - b[k]) for k in (0, 1)]
-    return any(-shared[1 - k] <= gap and enough[k] for k in (0, 1))
+def joined_boxes(boxes: list[list[float]], gap: float, overlap: float) -> list[int]:
+    """A cluster number for each box (x0, y0, x1, y1): those that are joined, also through others, have the same one.
+
+    Two are joined if they touch, or are apart by at most ``gap`` on one axis while they share at least ``overlap`` of the
+    smaller side on the other. In a sweep by x0 a box is compared with those that begin at most ``gap`` beyond its end.
+    """
+    if not boxes:
+        return []
+    given = np.array(boxes, float)
+    order = np.argsort(given[:, 0], kind="stable")
+    x0, y0, x1, y1 = given[order].T
+    parent = list(range(len(boxes)))
+    label = np.arange(len(boxes))  # a box's cluster as it was when last seen
+
+    def find(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    ends = np.searchsorted(x0, np.nextafter(x1 + gap, np.inf), side="right")
+    for i, end in enumerate(ends):
+        j = slice(i + 1, end)
+        across, down = (np.minimum(hi[i], hi[j]) - np.maximum(lo[i], lo[j]) for lo, hi in ((x0, x1), (y0, y1)))
+        sides = [overlap * np.minimum(hi[i] - lo[i], hi[j] - lo[j]) for lo, hi in ((x0, x1), (y0, y1))]
+        near = (np.minimum(across, down) >= 0) | ((-down <= gap) & (np.maximum(across, 0) >= sides[0])) | ((-across <= gap) & (np.maximum(down, 0) >= sides[1]))
+        hit = i + 1 + np.flatnonzero(near)
+        root = find(int(label[i]))
+        for c in np.unique(label[hit]):
+            if (other := find(int(c))) != root:
+                root, other = min(root, other), max(root, other)
+                parent[other] = root
+        label[hit] = label[i] = root
+    out = [0] * len(boxes)
+    for k, c in zip(order.tolist(), label.tolist(), strict=True):
+        out[k] = find(c)
+    return out
 
 
 def nearest_caption(figures: DataFrame, blocks: DataFrame, most: float = 120, longest: int = 300) -> DataFrame:
