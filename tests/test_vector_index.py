@@ -48,3 +48,14 @@ def test_blocks_meet_in_tasks_of_their_own(spark, monkeypatch):
     want = top_k(pairs, 15, score="distance", descending=False)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(got.columns).collect()))
     assert dense.vector_search(q.limit(0), v).count() == 0 and dense.vector_search(q, v.limit(0)).count() == 0
+
+
+def test_a_crowded_cell_is_searched_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(vector_index, "BLOCK", 30)
+    rows = [(i, [1.0, 1.0, 0.0]) for i in range(100)] + [(i, [float(i % 7), 1.0, float(i % 11)]) for i in range(100, 180)]
+    v = spark.createDataFrame(rows, "doc_id long, vector array<double>")
+    q = v.filter("doc_id % 9 = 0").withColumnRenamed("doc_id", "query_id")
+    n = vector_index.build(v, str(tmp_path), cells=5)
+    got = vector_index.search(q, str(tmp_path), probes=n)
+    assert "CoGroup" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, dense.vector_search(q, v).collect()))
