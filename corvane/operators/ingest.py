@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import random
-
+from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -178,13 +179,15 @@ def figure_regions(rects: DataFrame, gap: float = 28, overlap: float = 0.18, pad
     """(page_id, x0, y0, x1, y1) of figures: image rectangles of a page, cut to it, that touch or nearly do are one.
 
     Rectangles that agree to a tenth of a point count once. A figure is the hull of its rectangles; those that fill the
-    page, as scans do, and small or thin ones go. Pages are the groups; rectangles of a page are swept from left to right.
+    page, as scans do, and small or thin ones go. Pages are the groups, which lie in a partition one after the other; rectangles of a page are swept from left to right.
     """
 
-    def run(page: pa.Table) -> pa.Table:
-        width, height = float(page["width"][0].as_py()), float(page["height"][0].as_py())
+    names = ["page_id", "x0", "y0", "x1", "y1"]
+
+    def regions(page: int | None, rows: list[tuple]) -> list[tuple]:
+        width, height = float(rows[0][5]), float(rows[0][6])
         seen: dict[tuple, list[float]] = {}
-        for x0, y0, x1, y1 in zip(*(page[c].to_pylist() for c in ("x0", "y0", "x1", "y1")), strict=True):
+        for _, x0, y0, x1, y1, _, _ in rows:
             box = [min(max(float(v), 0.0), most) for v, most in ((x0, width), (y0, height), (x1, width), (y1, height))]
             if box[2] - box[0] > 2 and box[3] - box[1] > 2:
                 seen.setdefault(tuple(round(v, 1) for v in box), box)
@@ -198,13 +201,46 @@ def figure_regions(rects: DataFrame, gap: float = 28, overlap: float = 0.18, pad
             w, h = x1 - x0, y1 - y0
             share = w * h / max(1.0, width * height)
             if 0.0015 <= share < 0.88 and min(w, h) >= 34 and max(w / h, h / w) <= 12:
-                out.append((max(0.0, x0 - pad), max(0.0, y0 - pad), min(width, x1 + pad), min(height, y1 + pad)))
-        cols = list(zip(*sorted(out, key=lambda r: (r[1], r[0])), strict=True)) or [[], [], [], []]
-        ids = pa.array([page["page_id"][0].as_py()] * len(out), pa.int64())
-        return pa.table([ids, *(pa.array(c, pa.float64()) for c in cols)], names=["page_id", "x0", "y0", "x1", "y1"])
-
-    spread = rects.repartition(int(rects.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_id")
-    return spread.groupBy("page_id").applyInArrow(run, "page_id long, x0 double, y0 double, x1 double, y1 double")
+                out.append((page, max(0.0, x0 - pad), max(0.0, y0 - pad), min(width, x1 + pad), min(height, y1 + pad)))
+        return sorted(out, key=lambda r: (r[2], r[1]))
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True)) or [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.float64()) for c in cols[1:])], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # many small pages a batch; one page may go over several
+        rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        out: list[tuple] = []
+        for page, own in groupby(rows, key=lambda r: r[0]):
+            out += regions(page, list(own))
+            if len(out) >= 10_000:
+                yield batch_of(out)
+                out = []
+        yield batch_of(out)
+
+    spread = rects.select(*names, "width", "height").repartition(int(rects.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_id")
+    return spread.sortWithinPartitions("page_id").mapInArrow(run, "page_id long, x0 double, y0 double, x1 double, y1 double")
+
+
+#: Boxes of a page up to which they are compared one by one, as arrays cost more than they save.
+FEW_BOXES = 24
+
+
+def _few_joined(boxes: list[list[float]], gap: float, overlap: float) -> list[int]:
+    """joined_boxes by comparing all pairs."""
+    label = list(range(len(boxes)))
+    for i, a in enumerate(boxes):
+        for j in range(i + 1, len(boxes)):
+            if label[i] == label[j]:
+                continue
+            b = boxes[j]
+            across, down = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
+            touch = across >= 0 and down >= 0
+            if touch or (-down <= gap and max(across, 0.0) >= overlap * min(a[2] - a[0], b[2] - b[0])) or (-across <= gap and max(down, 0.0) >= overlap * min(a[3] - a[1], b[3] - b[1])):
+                new, old = min(label[i], label[j]), max(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return label
 
 
 def joined_boxes(boxes: list[list[float]], gap: float, overlap: float) -> list[int]:
@@ -213,8 +249,8 @@ def joined_boxes(boxes: list[list[float]], gap: float, overlap: float) -> list[i
     Two are joined if they touch, or are apart by at most ``gap`` on one axis while they share at least ``overlap`` of the
     smaller side on the other. In a sweep by x0 a box is compared with those that begin at most ``gap`` beyond its end.
     """
-    if not boxes:
-        return []
+    if len(boxes) <= FEW_BOXES:
+        return _few_joined(boxes, gap, overlap)
     given = np.array(boxes, float)
     order = np.argsort(given[:, 0], kind="stable")
     x0, y0, x1, y1 = given[order].T
