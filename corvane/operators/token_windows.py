@@ -9,6 +9,7 @@ window can be given to a model of that size, and windows cover the text in order
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,14 +40,13 @@ def windows(text: str | None, tokenizer, size: int, overlap: int) -> list[tuple[
     spans = tokenizer.encode(text, add_special_tokens=False).offsets
     # (token, place) where a token begins that shares no code point with the one before
     cuts = [(0, 0)] + [(k, spans[k][0]) for k in range(1, len(spans)) if spans[k - 1][1] <= spans[k][0]] + [(len(spans), len(text))]
+    tokens = [token for token, _ in cuts]
     out, at, last = [], 0, 0
     while at < len(cuts) - 1:
-        end = at + 1
-        while end + 1 < len(cuts) and cuts[end + 1][0] - cuts[at][0] <= size:
-            end += 1
+        end = max(at + 1, bisect_right(tokens, tokens[at] + size) - 1)
         while True:
             window = text[cuts[at][1] : cuts[end][1]]
-            n = len(tokenizer.encode(window, add_special_tokens=False).ids)
+            n = len(tokenizer.encode_batch_fast([window], add_special_tokens=False)[0])  # without places
             if n <= size or end == at + 1:
                 break
             end -= 1
@@ -57,10 +57,7 @@ def windows(text: str | None, tokenizer, size: int, overlap: int) -> list[tuple[
         last = end
         if end == len(cuts) - 1:
             break
-        after = end
-        while after - 1 > at and cuts[end][0] - cuts[after - 1][0] <= overlap:
-            after -= 1
-        at = after
+        at = max(at + 1, bisect_left(tokens, tokens[end] - overlap))
     return out
 
 
@@ -69,10 +66,14 @@ def chunk_model_tokens(docs: DataFrame, vocabulary: str, size: int = 256, overla
     if size < LEAST_SIZE or not 0 <= overlap < size:
         raise ValueError(f"size must be at least {LEAST_SIZE}, and overlap from 0 to below the size")
 
+    spark = docs.sparkSession
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = _tokenizer(vocabulary)
         for frame in frames:
             rows = [(d, i, *w) for d, t in zip(frame["doc_id"], frame["content"], strict=True) for i, w in enumerate(windows(t, tokenizer, size, overlap))]
             yield pd.DataFrame(rows, columns=["doc_id", "chunk_index", "start_index", "chunk", "n_tokens"])
 
-    return docs.select("doc_id", "content").mapInPandas(run, "doc_id long, chunk_index long, start_index long, chunk string, n_tokens long")
+    # tokenising costs far more than moving the texts, and a table of few row groups would be read by few tasks
+    dealt = docs.select("doc_id", "content").repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), "doc_id")
+    return dealt.mapInPandas(run, "doc_id long, chunk_index long, start_index long, chunk string, n_tokens long")

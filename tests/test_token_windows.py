@@ -43,3 +43,11 @@ def test_windows_of_documents(spark):
         check(r.content or "", got.get(r.doc_id, []), 64, 16)
     with pytest.raises(ValueError, match="size must be"):
         token_windows.chunk_model_tokens(docs, BYTES, 4, 0)
+
+
+def test_windows_of_one_row_group_are_cut_by_many_tasks(spark, tmp_path):
+    docs = spark.range(64).selectExpr("id as doc_id", "repeat(concat('word ', id, ' '), 50) as content").coalesce(1)
+    docs.write.parquet(f"{tmp_path}/docs")
+    made = token_windows.chunk_model_tokens(spark.read.parquet(f"{tmp_path}/docs"), BYTES, 64, 16)
+    tasks = {r[0] for r in made.selectExpr("spark_partition_id()").distinct().collect()}
+    assert len(tasks) > 1
