@@ -8,8 +8,10 @@ empty; a null or empty pattern finds nothing; repeated patterns count once; doc_
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 from pyspark.sql.window import Window
 
 from ..tables import materialize, scope
@@ -30,9 +32,15 @@ def trigrams(text: Column) -> Column:
     return F.array_distinct(F.filter(runs, lambda x: x.isNotNull()))
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def text_trigrams(texts: pd.Series) -> pd.Series:
+    """As trigrams, for whole texts: an array of all its code points is costly to fold in an expression."""
+    return texts.map(lambda t: None if t is None else list(dict.fromkeys(map("".join, zip(t, t[1:], t[2:], strict=False)))))
+
+
 def postings(docs: DataFrame) -> DataFrame:
     """(gram, doc_id) of ``docs`` (doc_id, content), lower-cased."""
-    return docs.select("doc_id", F.explode(trigrams(F.lower("content"))).alias("gram"))
+    return docs.select("doc_id", F.explode(text_trigrams(F.lower("content"))).alias("gram"))
 
 
 def store(docs: DataFrame, path: str) -> None:
@@ -53,7 +61,7 @@ def matches(docs: DataFrame, patterns: DataFrame, path: str | None = None) -> Da
     keyed = asked.select("pattern", F.explode("grams").alias("gram"))
     grams = keyed.select("gram").distinct()
     if path is None:
-        rows = low.select("doc_id", F.explode(trigrams(F.col("content"))).alias("gram"))
+        rows = low.select("doc_id", F.explode(text_trigrams(F.col("content"))).alias("gram"))
     else:
         rows = docs.sparkSession.read.schema("gram string, doc_id long, bucket int").parquet(path)
         wanted = [r.b for r in grams.select(F.pmod(F.xxhash64("gram"), F.lit(BUCKETS)).alias("b")).distinct().collect()]

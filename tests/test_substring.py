@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from corvane.operators import substring
 
 
@@ -25,3 +27,11 @@ def test_no_nested_loop(spark):
     frame = spark.createDataFrame([(1, "an index of names")], "doc_id long, content string")
     found = substring.matches(frame, spark.createDataFrame([("ind_x of",)], "pattern string"))
     assert found.count() == 1 and "NestedLoop" not in found._jdf.queryExecution().toString()
+
+
+def test_trigrams_of_texts_as_of_patterns(spark):
+    """Both ways to cut a text into trigrams agree, by code points."""
+    rows = [(k, t) for k, t in enumerate([None, "", "ab", "abc", "aaaa", "a\nb\r\n c", "🙂é́🙂é́x", "편집 원칙 편집"])]
+    df = spark.createDataFrame(rows, "id long, t string")
+    both = df.orderBy("id").select(substring.text_trigrams("t").alias("a"), substring.trigrams(F.col("t")).alias("b")).collect()
+    assert [r.a for r in both] == [r.b for r in both] and both[4].a == ["aaa"]
