@@ -24,6 +24,7 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.operators import evaluation, lexical, sparse
+from corvane.operators.sizes import if_small
 from corvane.tables import materialize, scope
 from jobs import settings
 
@@ -47,7 +48,7 @@ def run(spark: SparkSession, documents: str, questions: str, output: str, config
         holds = sparse.pattern_counts(docs.select("doc_id", "content", F.lit("").alias("heading")), patterns).select("doc_id", "pattern")
         truth = materialize(holds.join(asked, F.col("pattern") == F.col("query")).select("query_id", "doc_id"), "truth")
         marked = evaluation.ranked_hits(found, truth).withColumn("relevant", F.col("hit") == 1)
-        results = marked.join(docs.select("doc_id", "lang"), "doc_id").select("query_id", "doc_id", "rank", "score", "relevant", "lang")
+        results = if_small(marked, sparse.MOST_PATTERNS).join(docs.select("doc_id", "lang"), "doc_id").select("query_id", "doc_id", "rank", "score", "relevant", "lang")
         wrote = Observation("wrote")
         results.observe(wrote, F.count("*").alias("rows"), F.count_if(F.col("relevant")).alias("hits")).write.mode("overwrite").partitionBy("lang").parquet(f"{output}/results")
         measured = evaluation.runtime_metrics(found, truth, asked, s["eval_k"])

@@ -78,3 +78,34 @@ def test_plan_reads_asked_postings_only(spark, tmp_path):
     lexical.update(corpus(spark, 300), path)
     plan = lexical.bm25_search(asked(spark), path)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [bucket" in plan and "In(token, [" in plan
+
+
+def test_postings_and_scores_stay_in_their_task(spark, tmp_path, monkeypatch):
+    """Postings are made where their documents are, and a search shuffles at most k rows a query and task."""
+    path, docs = str(tmp_path / "index"), corpus(spark, 700).repartition(3)
+    lexical.update(docs, path)
+    own = spark.read.schema(lexical.DOCUMENTS).parquet(f"{path}/documents/segment=1").filter("dl is not null")
+    assert "Exchange" not in lexical._blocks(own, 4)._jdf.queryExecution().executedPlan().toString()
+    given, top_k = [], lexical.top_k
+
+    def counted(df, k, **a):
+        if "bound" not in df.columns:
+            given.append(df.count() <= 2 * k * 3 * df.rdd.getNumPartitions())
+        return top_k(df, k, **a)
+
+    monkeypatch.setattr(lexical, "top_k", counted)
+    assert lexical.bm25_search(asked(spark), path, k=2).count() == 6 and given and all(given)
+
+
+def test_blocks_of_several_batches(spark, tmp_path):
+    """A block's rows that come in several batches count together, and of a changed document the newest text alone."""
+    path, docs = str(tmp_path / "index"), corpus(spark, 900)
+    most = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    try:
+        for size in (7, 150, 10_000):
+            spark.conf.set(most, size)
+            lexical.update(docs.filter(F.col("doc_id") < 600).withColumn("content", F.concat("content", F.lit(f" vector w3 w{size}"))), path)
+            lexical.update(docs, path)
+            assert same(spark, docs, path)
+    finally:
+        spark.conf.unset(most)
