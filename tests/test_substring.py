@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -35,3 +36,34 @@ def test_trigrams_of_texts_as_of_patterns(spark):
     df = spark.createDataFrame(rows, "id long, t string")
     both = df.orderBy("id").select(substring.text_trigrams("t").alias("a"), substring.trigrams(F.col("t")).alias("b")).collect()
     assert [r.a for r in both] == [r.b for r in both] and both[4].a == ["aaa"]
+
+
+def test_no_text_is_shuffled(spark, tmp_path):
+    """Neither postings nor matches move texts: they are made and compared where these are read."""
+    docs = [(k, f"text {k} holds an index of names " + "word " * k) for k in range(40)]
+    spark.createDataFrame(docs, "doc_id long, content string").write.parquet(str(tmp_path / "docs"))
+    frame = spark.read.parquet(str(tmp_path / "docs"))
+    asked = spark.createDataFrame([("ind_x of",), ("text 7_holds",), ("needle_s",)], "pattern string")
+    substring.store(frame, str(tmp_path / "grams"))
+    plans = [substring.postings(frame), substring.matches(frame, asked), substring.matches(frame, asked, str(tmp_path / "grams"))]
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    for found in plans[1:]:
+        assert sorted(map(tuple, found.collect())) == sorted(_brute(docs, ["ind_x of", "text 7_holds", "needle_s"]))
+
+
+def test_passes_in_parts(monkeypatch):
+    """Long texts in parts, many patterns that share their trigrams, patterns over the end of a text, signs of all sizes."""
+    r = random.Random(5)
+    texts = ["".join(r.choice("abz😀글_ ") for _ in range(n)) for n in (3, 4, 400, 17, 900, 5)]
+    patterns = sorted({"".join(r.choice("abz😀글_") for _ in range(r.randrange(3, 22))) for _ in range(300)} | {t[i : i + 20] for t in texts for i in range(0, len(t), 7)} | {"abc", "zab"})
+    patterns = [p for p in patterns if max(map(len, p.split("_"))) > 2]
+    docs = list(enumerate(texts))
+    want = _brute(docs, patterns)
+    for chars in (5, 64, 1 << 21):
+        monkeypatch.setattr(substring, "MOST_CHARS", chars)
+        assert set(substring._Machine(patterns).found([d for d, _ in docs], texts)) == want
+        for t in texts:
+            [(_, gram, place)] = substring._pairs([t])
+            assert gram.tolist() == sorted({(ord(a) << 42) + (ord(b) << 21) + ord(c) for a, b, c in zip(t, t[1:], t[2:], strict=False)}) and not place.any()
