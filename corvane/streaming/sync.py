@@ -17,33 +17,59 @@ from ..session import shared_dir
 
 #: What the stream appends: one row for each version that begins.
 BEGUN = "collection_code string, source_key string, version long, source_hash string, valid_from long"
+#: Hash buckets of sources; those of one are handled together. A checkpoint goes on with the number that it began with.
+BUCKETS = 1024
+#: Sources of a bucket that arrive at once up to which each is looked up by itself, and how many are read together for one of more.
+FEW, PASSED = 16, 8
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class SourceVersions(StatefulProcessor):
-    """The newest version of one source, kept as state; arrivals (source_hash, seq) are judged one after another.
+    """The newest version of each source of a bucket, a row of state each; a source's arrivals (source_hash, seq) are judged one after another.
 
     A hash that is the newest already begins nothing, except under the policy ``force``: then the version begins anew.
+    Every call to the state waits for the JVM: where more than FEW sources of a bucket arrive up to PASSED times as many
+    are read together, in a few calls, the others source by source; a source is written where it has changed.
     """
 
     def __init__(self, policy: str):
         self.policy = policy
 
     def init(self, handle) -> None:
-        self.newest = handle.getValueState("newest", "version long, source_hash string")
+        self.newest = handle.getMapState("newest", "collection_code string, source_key string", "version long, source_hash string")
+
+    def _read(self, sources) -> dict[tuple, tuple]:
+        found = {}
+        if len(sources) > FEW:
+            for passed, (source, value) in enumerate(self.newest.iterator(), 1):
+                if source in sources:
+                    found[source] = value
+                if len(found) == len(sources) or passed == PASSED * len(sources):
+                    break
+            else:
+                return found
+        for source in sources.keys() - found.keys():
+            if (value := self.newest.getValue(source)) is not None:
+                found[source] = tuple(value)
+        return found
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived = sorted((pair for f in rows for pair in zip(f["seq"].tolist(), f["source_hash"].tolist(), strict=True)), key=lambda p: p[0])
-        version, last = self.newest.get() if self.newest.exists() else (0, None)
-        begun = []
-        for seq, source_hash in arrived:
-            same = version > 0 and source_hash == last
-            if same and self.policy != "force":
-                continue
-            version, last = version + (not same), source_hash
-            begun.append((*key, version, source_hash, seq))
+        arrived: dict[tuple, list] = {}
+        for f in rows:
+            for *source, source_hash, seq in zip(*[f[c].tolist() for c in ("collection_code", "source_key", "source_hash", "seq")], strict=True):
+                arrived.setdefault(tuple(source), []).append((seq, source_hash))
+        newest, begun = self._read(arrived), []
+        for source, pairs in arrived.items():
+            before = version, last = newest.get(source, (0, None))
+            for seq, source_hash in sorted(pairs, key=lambda p: p[0]):
+                same = version > 0 and source_hash == last
+                if same and self.policy != "force":
+                    continue
+                version, last = version + (not same), source_hash
+                begun.append((*source, version, source_hash, seq))
+            if (version, last) != before:
+                self.newest.updateValue(source, (version, last))
         if begun:
-            self.newest.update((version, last))
             yield pd.DataFrame(begun, columns=[c.split()[0] for c in BEGUN.split(", ")])
 
     def close(self) -> None:
@@ -65,11 +91,12 @@ def rocks_state(spark: SparkSession) -> Iterator[None]:
 def sync_stream(arrivals: DataFrame, path: str, checkpoint: str, policy: str = "update_changed"):
     """Append the versions that a stream of (collection_code, source_key, source_hash, seq) begins to the table at ``path``.
 
-    State is one row a source, in the stream's own store: a batch reads and writes that of its arrivals alone, and the
-    file sink counts each batch once. versions() gives the state of all sources.
+    State is one row a source, in the stream's own store: a batch writes that of its arrivals alone and reads at most
+    PASSED times as many; the file sink counts each batch once. versions() gives the state of all sources.
     """
     with rocks_state(arrivals.sparkSession):
-        begun = arrivals.groupBy("collection_code", "source_key").transformWithStateInPandas(SourceVersions(policy), BEGUN, "Append", "None")
+        bucket = F.pmod(F.xxhash64("collection_code", "source_key"), F.lit(BUCKETS)).cast("int")
+        begun = arrivals.withColumn("bucket", bucket).groupBy("bucket").transformWithStateInPandas(SourceVersions(policy), BEGUN, "Append", "None")
         return begun.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
