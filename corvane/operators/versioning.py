@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import blank_to_null, regex_int, stable_json
+from ..tables import materialize, scope
 
 KEY = ["collection_code", "source_key"]
+#: Documents, and places of chunks of theirs, up to which they are broadcast to a sync's chunks.
+MOST_OWNERS = 200_000
 
 
 def logical_source_key(source: Column, kind: Column, sheet: Column, row: Column, item: Column) -> Column:
@@ -199,22 +202,52 @@ def sync_documents(documents: DataFrame, incoming: DataFrame) -> DataFrame:
     return both.select(*[pick(c) for c in DOCUMENT], state, *[pick(c) for c in FIELDS], action.alias("action"))
 
 
+def _packed(hash_: Column) -> Column:
+    """A string as bytes, one of 64 lower-case hexadecimal digits as the 32 that they stand for; the first byte tells which."""
+
+    def pack(h: Column) -> Column:
+        short = (F.length(h) == 64) & (F.lower(h) == h) & F.unhex(h).isNotNull()
+        return F.when(short, F.concat(F.lit(b"\0"), F.unhex(h))).otherwise(F.concat(F.lit(b"\1"), h.cast("binary")))
+
+    return F.element_at(F.transform(F.array(hash_), pack), 1)  # so that what the hash is made by runs once
+
+
+def _unpacked(packed: Column) -> Column:
+    own = F.substring(packed, 2, 1 << 30)
+    return F.when(F.substring(packed, 1, 1) == F.lit(b"\0"), F.lower(F.hex(own))).otherwise(own.cast("string"))
+
+
 def sync_chunks(existing: DataFrame, chunks: DataFrame, documents: DataFrame) -> DataFrame:
     """The chunks to add to the common table: those of known documents that repeat no hash and no place, there or among themselves.
 
     A document is found by the version id in its JSON metadata; of new chunks with one hash the first by document and
-    place is added.
+    place is added. Chunks move twice, to be numbered and by their hash, with the columns that are wanted alone and hashes as
+    bytes; the hashes that are there move beside them.
     """
-    owner = documents.select("documents_id", F.get_json_object("metadata", "$.source_versions_id").alias("_version"))
+    from .sizes import if_small
+
+    with scope():  # else a filter of its JSON may be moved down to what the documents come from
+        owner = materialize(documents.select("documents_id", F.get_json_object("metadata", "$.source_versions_id").alias("_version")), "owners", result=True)
+    owned = F.col("source_versions_id").cast("string") == F.col("_version")
     has = lambda k: F.try_element_at("metadata", F.lit(k))
-    new = chunk_numbers(chunks).join(owner, F.col("source_versions_id").cast("string") == F.col("_version"))
-    new = new.select(
-        "documents_id", "chunk_index", "chunk_hash", F.col("content").alias("chunk_text"), regex_int(has("page_number")).alias("page_number"), has("block_type").alias("block_type"),
-        F.coalesce(blank_to_null(has("chunk_strategy")), F.lit("recursive")).alias("chunk_strategy"), regex_int(has("chunk_size"), F.lit(800), signed=False).alias("chunk_size"), regex_int(has("chunk_overlap"), F.lit(150), signed=False).alias("chunk_overlap"),
+    new = chunks.select(
+        "source_versions_id", "created_at", _packed(F.col("document_key")).alias("document_key"), _packed(F.col("chunk_hash")).alias("chunk_hash"), F.col("content").alias("chunk_text"),
+        regex_int(has("page_number")).alias("page_number"), has("block_type").alias("block_type"), F.coalesce(blank_to_null(has("chunk_strategy")), F.lit("recursive")).alias("chunk_strategy"),
+        regex_int(has("chunk_size"), F.lit(800), signed=False).alias("chunk_size"), regex_int(has("chunk_overlap"), F.lit(150), signed=False).alias("chunk_overlap"),
     )
-    new = new.join(existing.select("documents_id", "chunk_index"), ["documents_id", "chunk_index"], "left_anti").join(existing.select("chunk_hash"), "chunk_hash", "left_anti")
-    first = F.row_number().over(Window.partitionBy("chunk_hash").orderBy("documents_id", "chunk_index"))
-    return new.withColumn("_nth", first).filter("_nth = 1").drop("_nth")
+    places = existing.select("documents_id", "chunk_index")
+    if owner.limit(MOST_OWNERS + 1).count() <= MOST_OWNERS:
+        owner = F.broadcast(owner)
+        new = new.join(F.broadcast(owner.select("_version").distinct()), owned, "left_semi")
+        places = places.join(F.broadcast(owner.select("documents_id").distinct()), "documents_id", "left_semi")
+    new = new.repartition("source_versions_id").withColumn("document_key", _unpacked(F.col("document_key")))
+    new = chunk_numbers(new).join(owner, owned).drop("source_versions_id", "created_at", "document_key", "_version")
+    new = new.join(if_small(places, MOST_OWNERS), ["documents_id", "chunk_index"], "left_anti")
+    # a hash that is there comes first among its own, and is no chunk to add
+    there = existing.filter(F.col("chunk_hash").isNotNull()).select(_packed(F.col("chunk_hash")).alias("chunk_hash"))
+    both = new.withColumn("_new", F.lit(1)).unionByName(there.withColumn("_new", F.lit(0)), allowMissingColumns=True).repartition("chunk_hash")
+    first = F.row_number().over(Window.partitionBy("chunk_hash").orderBy("_new", "documents_id", "chunk_index"))
+    return both.withColumn("_nth", first).filter("_nth = 1 and _new = 1").drop("_nth", "_new").withColumn("chunk_hash", _unpacked(F.col("chunk_hash")))
 
 
 def to_sync(versions: DataFrame, documents: DataFrame, chunks: DataFrame, common_chunks: DataFrame) -> DataFrame:
